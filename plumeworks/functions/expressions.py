@@ -26,10 +26,18 @@ def season_of(month):
     return reduce(lambda acc, b: acc.when(b[0], b[1]), rest, F.when(*head))
 
 
+def zero_fill(text, width):
+    """Left-pad with zeros up to ``width``; longer text is kept whole."""
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def site_id(state, county, number):
     """Nine-digit site id; missing parts count as zero and long parts are never cut."""
-    parts = [F.coalesce(F.col(c).cast("int"), F.lit(0)) for c in (state, county, number)]
-    return F.format_string("%02d%03d%04d", *parts)
+    parts = [
+        zero_fill(F.coalesce(F.col(c).cast("int"), F.lit(0)).cast("string"), width)
+        for c, width in ((state, 2), (county, 3), (number, 4))
+    ]
+    return F.concat(*parts)
 
 
 def date_text(ts):

@@ -11,6 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumeworks.functions.expressions import haversine_km, km_from_haversine
+from plumeworks.session import settle
 
 SPLIT = 8  # each cell splits into SPLIT x SPLIT children
 LEVELS = 4  # the finest cells are 360 / 8**4 degrees wide, about 10 km
@@ -26,27 +27,28 @@ def _cell(level):
     return (index("lat", 180.0) * n + index("lon", 360.0)).cast("long")
 
 
-def _parent(cell, level):
-    n = SPLIT**level
-    row, col = F.floor(F.col(cell) / n), F.col(cell) % n
-    return (F.floor(row / SPLIT) * (n // SPLIT) + F.floor(col / SPLIT)).cast("long")
-
-
 def _occupied_cells(stations):
-    """Per level: occupied cells with their extent and one real station each."""
-    finest = stations.groupBy(_cell(LEVELS).alias("cell")).agg(
-        F.min("lat").alias("south"), F.max("lat").alias("north"),
-        F.min("lon").alias("west"), F.max("lon").alias("east"),
-        F.min(F.struct("lat", "lon")).alias("member"),
-    )
-    levels = {LEVELS: finest}
-    for level in range(LEVELS - 1, 0, -1):
-        levels[level] = levels[level + 1].groupBy(_parent("cell", level + 1).alias("cell")).agg(
-            F.min("south").alias("south"), F.max("north").alias("north"),
-            F.min("west").alias("west"), F.max("east").alias("east"),
-            F.min("member").alias("member"),
+    """Occupied cells of all levels: extent, parent and one real station each.
+
+    Built in one aggregation and settled: every level of the search reads this small table.
+    """
+    levels = F.explode(F.array(*[
+        F.struct(
+            F.lit(k).alias("level"),
+            _cell(k).alias("cell"),
+            (_cell(k - 1) if k > 1 else F.lit(0).cast("long")).alias("parent"),
         )
-    return {k: v.withColumn("parent", _parent("cell", k)) for k, v in levels.items()}
+        for k in range(1, LEVELS + 1)
+    ]))
+    cells = stations.select("lat", "lon", levels.alias("at")).select("lat", "lon", "at.*")
+    return settle(
+        cells.groupBy("level", "cell", "parent").agg(
+            F.min("lat").alias("south"), F.max("lat").alias("north"),
+            F.min("lon").alias("west"), F.max("lon").alias("east"),
+            F.max("lat").alias("member_lat"), F.max_by("lon", "lat").alias("member_lon"),
+        ),
+        "station-cells",
+    )
 
 
 def _least_km_to_extent():
@@ -64,6 +66,18 @@ def _least_km_to_extent():
     return km_from_haversine(term)
 
 
+def _keep_possible(pairs):
+    """Of a spot's cells, those that can hold something nearer than a station already known."""
+    measured = pairs.select(
+        "lat", "lon", F.col("cell").alias("at"),
+        _least_km_to_extent().alias("least_km"),
+        haversine_km(F.col("lat"), F.col("lon"), F.col("member_lat"), F.col("member_lon")).alias("real_km"),
+    )
+    slack = 1.0 + 1e-9  # keeps exact ties alive through rounding
+    bound = F.min("real_km").over(Window.partitionBy("lat", "lon")) * slack + 1e-9
+    return measured.withColumn("bound", bound).where(F.col("least_km") <= F.col("bound")).select("lat", "lon", "at")
+
+
 def nearest_station(sites, stations, key="aqsid"):
     """``sites`` plus ``weather_station`` and ``distance_km``; ties go to the first name.
 
@@ -71,21 +85,16 @@ def nearest_station(sites, stations, key="aqsid"):
     one spot are looked up once.
     """
     cells = _occupied_cells(stations)
+    columns = ["cell", "south", "north", "west", "east", "member_lat", "member_lon"]
+    # Level 1 has at most SPLIT x SPLIT cells, so every spot starts from that short list.
+    top = cells.where(F.col("level") == 1).agg(F.collect_list(F.struct(*columns))).scalar()
     spots = sites.select("lat", "lon").distinct()
-    live = spots.withColumn("at", F.lit(0).cast("long"))
-    slack = 1.0 + 1e-9  # keeps exact ties alive through rounding
-    for level in range(1, LEVELS + 1):
-        children = cells[level]
+    live = _keep_possible(spots.select("lat", "lon", F.inline(top)))
+    for level in range(2, LEVELS + 1):
+        children = cells.where(F.col("level") == level).select("parent", *columns)
         if level <= BROADCAST_LEVELS:
-            children = F.broadcast(children)
-        live = live.join(children, live["at"] == children["parent"]).select(
-            "lat", "lon", F.col("cell").alias("at"),
-            _least_km_to_extent().alias("least_km"),
-            haversine_km(F.col("lat"), F.col("lon"), F.col("member.lat"), F.col("member.lon")).alias("real_km"),
-        )
-        bound = F.min("real_km").over(Window.partitionBy("lat", "lon"))
-        live = live.withColumn("bound", bound * slack + 1e-9).where(F.col("least_km") <= F.col("bound"))
-        live = live.select("lat", "lon", "at")
+            children = F.broadcast(children)  # bounded by the grid, and few keys to spread by
+        live = _keep_possible(live.join(children, F.col("at") == F.col("parent")))
     places = stations.select(
         "location", F.col("lat").alias("slat"), F.col("lon").alias("slon"), _cell(LEVELS).alias("cell")
     )

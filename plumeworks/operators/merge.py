@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plumeworks.operators.geo import county_fallback, nearest_station
 from plumeworks.operators.weather import daily_weather, station_coordinates
+from plumeworks.session import settle
 
 
 def prefer_first(sources, key, columns):
@@ -30,8 +31,8 @@ def attach_coordinates(sites, coords):
 
 def pair_sites(daily, weather, coords):
     """Site to weather station: nearest by distance, else by county name, else null."""
-    stations = station_coordinates(weather)
-    sites = attach_coordinates(site_list(daily), coords)
+    stations = settle(station_coordinates(weather), "stations")
+    sites = settle(attach_coordinates(site_list(daily), coords), "sites")
     located = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     names = ["aqsid", "site_name", "county_name"]
     near = nearest_station(sites.where(located), stations).select(*names, "weather_station", "distance_km")

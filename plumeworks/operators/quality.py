@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from plumeworks import constants as C
+from plumeworks.functions.expressions import inline_table
 
 RESULT_COLUMNS = ["name", "passed", "expected", "actual", "detail", "severity"]
 
@@ -15,7 +16,7 @@ def result(name, passed, expected="", actual="", detail="", severity="error"):
         return v.cast("string") if hasattr(v, "cast") else F.lit(str(v))
     ok = passed if hasattr(passed, "cast") else F.lit(bool(passed))
     return F.struct(
-        F.lit(name).alias("name"),
+        text(name).alias("name"),
         F.coalesce(ok, F.lit(False)).alias("passed"),
         text(expected).alias("expected"),
         text(actual).alias("actual"),
@@ -137,6 +138,39 @@ def missing_source(spark, source):
     return as_rows(spark.range(1), [schema_result([], C.MEASUREMENT_COLUMNS, source)])
 
 
+def check_sources(df, by, expected_rows, tolerance_pct=1.0, window=C.DATE_WINDOW):
+    """The measurement checks for every source of a multi-file table, from one pass over it.
+
+    ``expected_rows`` maps each source to its row count; a source without rows fails its
+    schema check. The mapping is configuration, so joining it as a literal table is safe.
+    """
+    known = inline_table(df.sparkSession, ["_source", "_expected"], list(expected_rows.items()))
+    measured = known.join(profile(df, [by]), F.col("_source") == F.col(by), "left")
+    columns = [c for c in df.columns if c in C.MEASUREMENT_COLUMNS]
+    n, want = F.col("n_rows"), F.col("_expected")
+    close = F.when(want == 0, n == 0).otherwise(F.abs(n - want) / F.nullif(want, F.lit(0)) * 100 <= tolerance_pct)
+    low, high = F.col("min_date").cast("string"), F.col("max_date").cast("string")
+    def named(check):
+        return F.concat(F.lit(f"{check}:"), F.col("_source"))
+    wanted = sorted(C.MEASUREMENT_COLUMNS)
+    seen = F.when(n.isNull(), "[]").otherwise(str(sorted(columns)))
+    checks = [
+        result(named("schema"), n.isNotNull() & F.lit(sorted(columns) == wanted), wanted, seen),
+        result(named("row_count"), close, want, n, f"tolerance={tolerance_pct}%"),
+        result(
+            named("no_duplicate_hours"), F.col("n_duplicate_hours") == 0, 0, F.col("n_duplicate_hours"),
+            F.concat(F.lit("exact_full_row_dups="), F.col("n_exact_duplicates").cast("string")), "warning",
+        ),
+        result(
+            named("date_range"), (low >= window[0]) & (high <= window[1]), "..".join(window),
+            F.concat_ws("..", low, high), F.when(low.isNull(), "no parseable dates").otherwise(""),
+        ),
+    ]
+    rows = measured.select("n_rows", F.inline(F.array(*checks)))
+    # An absent source reports its schema only.
+    return rows.where(F.col("n_rows").isNotNull() | F.col("name").startswith("schema:")).drop("n_rows")
+
+
 def check_totals(df, expected_rows, sites, counties, groups, tolerance_pct=1.0, site_slack=5):
     """Study-wide totals; the site count may fall short by the slack and only warns."""
     return as_rows(
@@ -231,6 +265,8 @@ def roll_up(results):
 
 
 def write_report(results, path):
-    """Result rows and their summary as JSON."""
+    """Result rows and their summary as JSON; the summary reads the rows written before it."""
     results.write.mode("overwrite").json(f"{path}/results")
-    roll_up(results).write.mode("overwrite").json(f"{path}/summary")
+    written = results.sparkSession.read.schema(results.schema).json(f"{path}/results")
+    roll_up(written).write.mode("overwrite").json(f"{path}/summary")
+    return written

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from plumeworks.functions.expressions import join_same
 
 
-def exact_quantiles(df, keys, value, quantiles, accuracy=10_000):
+def exact_quantiles(df, keys, value, quantiles, accuracy=2_000):
     """``{output name: probability}`` per group, linear interpolation, nulls ignored."""
     if not keys:
         whole = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], value, quantiles, accuracy)

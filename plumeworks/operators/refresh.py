@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from plumeworks import constants as C
-from plumeworks.functions.expressions import inline_table, site_id
+from plumeworks.functions.expressions import inline_table, site_id, zero_fill
 
 
 def _lookup(df, names, rows, on):
@@ -60,7 +60,7 @@ def from_transactions(raw, pollutant_group):
         F.col("param").cast("int").alias("parameter_code"),
         F.col("poc").cast("int").alias("poc"),
         F.try_to_date("date", "yyyyMMdd").cast("string").alias("date_local"),
-        F.when(F.length("time") < 5, F.lpad("time", 5, "0")).otherwise(F.col("time")).alias("time_local"),
+        zero_fill(F.col("time"), 5).alias("time_local"),
         F.col("value").cast("double").alias("sample_measurement"),
         F.col("meth").cast("int").alias("method_code"),
     ).withColumn("aqsid", site_id("state_code", "county_code", "site_number"))
@@ -77,9 +77,8 @@ def from_api(records):
         *numeric(CODES), "date_local", "time_local", *numeric(["sample_measurement"], "double")
     ).withColumn("aqsid", site_id("state_code", "county_code", "site_number"))
     rows = name_counties(name_parameters(rows))
-    legacy = F.format_string(
-        "%s_%04d", F.col("county_name"), F.coalesce(F.col("site_number"), F.lit(0))
-    )
+    number = F.coalesce(F.col("site_number"), F.lit(0)).cast("string")
+    legacy = F.concat(F.col("county_name"), F.lit("_"), zero_fill(number, 4))
     rows = name_sites(rows, legacy).withColumn("data_source", F.lit("EPA"))
     kept = drop_dead_sensors(rows.where(F.col("sample_measurement").isNotNull()))
     return kept.select(*C.MEASUREMENT_COLUMNS)

@@ -8,7 +8,7 @@ coordinate files. Only columns are derived: every row of every table takes part.
 from pyspark.sql import functions as F
 
 from plumeworks import constants as C
-from plumeworks.functions.expressions import wind_components
+from plumeworks.functions.expressions import wind_components, zero_fill
 
 _PARAMETER_BY_LINE = [44201, 88101, 81102, 42101, 42401, 42602, 43202]
 _GROUP_BY_LINE = ["Ozone", "PM2.5", "PM10", "CO", "SO2", "NOx_Family", "VOCs"]
@@ -42,7 +42,8 @@ def county_name(number):
 
 
 def site_key(number):
-    return F.format_string("48%03d%04d", county_code(number), number.cast("long"))
+    prefix = _pick([f"48{c:03d}" for c, _ in C.COUNTIES], _county_position(number))
+    return F.concat(prefix, zero_fill(number.cast("string"), 4))
 
 
 def _measurements(rows):
@@ -66,7 +67,8 @@ def _measurements(rows):
         .when(line == 4, x * 0.1)
         .otherwise(x)
     )
-    county = F.when(~((line == 7) & (F.col("variant") == "O")), F.upper(county_name(number)))
+    upper_name = _pick([n.upper() for _, n in C.COUNTIES], _county_position(number))
+    county = F.when(~((line == 7) & (F.col("variant") == "O")), upper_name)
     return rows.select(
         F.lit(48).alias("state_code"),
         county_code(number).alias("county_code"),
@@ -82,7 +84,7 @@ def _measurements(rows):
         site_key(number).alias("aqsid"),
         F.col("source").alias("data_source"),
         _pick(_GROUP_BY_LINE, line - 1).alias("pollutant_group"),
-        F.format_string("%s_%04d", county_name(number), number.cast("long")).alias("site_name"),
+        F.concat(county_name(number), F.lit("_"), zero_fill(number.cast("string"), 4)).alias("site_name"),
     )
 
 
@@ -115,7 +117,7 @@ def raw_measurements(spark, sf_dir):
         F.when(F.col("user_id") % 4 < 2, "EPA").otherwise("TCEQ").alias("source"),
         (F.col("user_id") % 3 + 1).alias("poc"),
         F.to_date("ts").cast("string").alias("day"),
-        F.format_string("%02d:00", F.hour("ts")).alias("clock"),
+        F.concat(zero_fill(F.hour("ts").cast("string"), 2), F.lit(":00")).alias("clock"),
         F.col("value").alias("x"),
     )
     return _measurements(lines).unionByName(_measurements(hits))

@@ -36,3 +36,14 @@ def work_folder(spark, label):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/plumeworks/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df, label):
+    """Write an intermediate table to the shared folder and read it back.
+
+    Cuts the lineage, survives lost executors, and gives the planner the table's real size,
+    by which it decides between broadcasting and shuffling.
+    """
+    path = work_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
