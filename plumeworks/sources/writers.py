@@ -2,11 +2,13 @@
 
 from functools import reduce
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from plumeworks import constants as C
-from plumeworks.functions.expressions import inline_table, join_same
+from plumeworks.functions.expressions import all_of, inline_table, join_same
 from plumeworks.operators.clean import derive_time
+from plumeworks.sources.readers import parquet_dataset
 
 
 def write_partitioned(df, path, partition_cols):
@@ -54,13 +56,14 @@ def new_rows(delta, existing, keys):
 
 
 def touched_partitions(existing, delta, cols):
-    """Existing rows in the partitions the delta reaches.
+    """Existing rows in the folders the delta reaches; all other folders are never opened.
 
-    The distinct partition values are bounded by the store's own folder count, so they
-    are safe to broadcast, and dynamic pruning skips every other folder of the store.
+    The distinct partition values are no more than the delta's own target folders, so they
+    come to the driver and become a static partition filter.
     """
-    touched = F.broadcast(delta.select(*cols).distinct())
-    return existing.join(touched, cols, "left_semi")
+    folders = delta.select(*cols).distinct().collect()
+    matches = [all_of([F.col(c).eqNullSafe(F.lit(row[c])) for c in cols]) for row in folders]
+    return existing.where(reduce(Column.__or__, matches, F.lit(False)))
 
 
 def append_delta(spark, delta, path, keys=C.APPEND_KEY, partition_cols=("pollutant_group", "year")):
@@ -71,10 +74,12 @@ def append_delta(spark, delta, path, keys=C.APPEND_KEY, partition_cols=("polluta
     after, which needs no data columns, so the anti join runs once.
     """
     cols = list(partition_cols)
-    existing = spark.read.parquet(path)
+    existing = parquet_dataset(spark, path)
     before = group_counts(spark, path)
     delta = delta.where(F.col("pollutant_group").isin(*C.REFRESH_GROUPS)).select(*existing.columns)
-    _append(new_rows(delta, touched_partitions(existing, delta, cols), list(keys)), path, cols)
+    # Every group is a store of its own, so the key holds within the group.
+    key = list(dict.fromkeys(["pollutant_group", *keys]))
+    _append(new_rows(delta, touched_partitions(existing, delta, cols), key), path, cols)
     after = group_counts(spark, path)
     rows = [(g, before.get(g, 0), after.get(g, 0) - before.get(g, 0)) for g in C.REFRESH_GROUPS]
     report = inline_table(spark, ["pollutant_group", "rows_before", "rows_added"], rows)
@@ -83,14 +88,14 @@ def append_delta(spark, delta, path, keys=C.APPEND_KEY, partition_cols=("polluta
 
 def group_counts(spark, path):
     """Rows per known group of a store; at most one entry per group reaches the driver."""
-    rows = spark.read.parquet(path).where(F.col("pollutant_group").isin(*C.REFRESH_GROUPS))
+    rows = parquet_dataset(spark, path).where(F.col("pollutant_group").isin(*C.REFRESH_GROUPS))
     return {r["pollutant_group"]: r["n"] for r in rows.groupBy("pollutant_group").agg(F.count("*").alias("n")).collect()}
 
 
 def insert_absent(spark, delta, path, partition_cols=("pollutant_group", "year")):
     """Insert-if-absent into the hourly store, deriving the time columns first."""
     cols = list(partition_cols)
-    store = spark.read.parquet(path)
+    store = parquet_dataset(spark, path)
     rows = derive_time(delta).select(*store.columns)
     _append(new_rows(rows, touched_partitions(store, rows, cols), C.INSERT_KEY), path, cols)
 
