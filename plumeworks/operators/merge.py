@@ -18,8 +18,12 @@ def prefer_first(sources, key, columns):
 
 
 def site_list(daily):
-    """One row per site with its name and county (smallest non-null of each)."""
-    return daily.groupBy("aqsid").agg(
+    """One row per site with its name and county (smallest non-null of each).
+
+    The distinct triples come from a hash aggregate; only they reach the text minima.
+    """
+    names = daily.select("aqsid", "site_name", "county_name").distinct()
+    return names.groupBy("aqsid").agg(
         F.min("site_name").alias("site_name"), F.min("county_name").alias("county_name")
     )
 

@@ -18,7 +18,13 @@ from plumeworks.sources import writers
 SPARSE_MIN_HOURS = 1
 SPARSE_THRESHOLD = 1.0 / 24.0
 
-_PARTITIONS = {"hourly": ["pollutant_group", "year"], "weather": ["location", "year"]}
+# Table: (partition columns, sort within a partition), after what queries filter on.
+LAYOUT = {
+    "hourly": (["pollutant_group", "year"], ["aqsid", "datetime"]),
+    "weather": (["location", "year"], ["dt"]),
+    "daily": (["pollutant_group"], ["aqsid", "date_local"]),
+    "combined": (["pollutant_group"], ["aqsid", "date_local"]),
+}
 
 
 class Tables:
@@ -42,8 +48,8 @@ class Tables:
         path = f"{self.root}/{name}"
         if name not in self.done:
             df = getattr(self, f"_build_{name}")()
-            if name in _PARTITIONS:
-                writers.write_partitioned(df, path, _PARTITIONS[name])
+            if name in LAYOUT:
+                writers.write_partitioned(df, path, *LAYOUT[name])
             else:
                 writers.write_table(df, path)
             self.done.add(name)
