@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from plumeworks.operators.geo import county_fallback, nearest_station
+from plumeworks.operators.series import site_names
 from plumeworks.operators.weather import daily_weather, station_coordinates
 from plumeworks.session import settle
 
@@ -17,17 +18,6 @@ def prefer_first(sources, key, columns):
     return every.groupBy(key).agg(best).select(key, *[F.col(f"_best.{c}").alias(c) for c in columns])
 
 
-def site_list(daily):
-    """One row per site with its name and county (smallest non-null of each).
-
-    The distinct triples come from a hash aggregate; only they reach the text minima.
-    """
-    names = daily.select("aqsid", "site_name", "county_name").distinct()
-    return names.groupBy("aqsid").agg(
-        F.min("site_name").alias("site_name"), F.min("county_name").alias("county_name")
-    )
-
-
 def attach_coordinates(sites, coords):
     """Left join of coordinates; Spark broadcasts the small side by its measured size."""
     return sites.join(coords, "aqsid", "left")
@@ -36,7 +26,7 @@ def attach_coordinates(sites, coords):
 def pair_sites(daily, weather, coords):
     """Site to weather station: nearest by distance, else by county name, else null."""
     stations = settle(station_coordinates(weather), "stations")
-    sites = settle(attach_coordinates(site_list(daily), coords), "sites")
+    sites = settle(attach_coordinates(site_names(daily), coords), "sites")
     located = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     names = ["aqsid", "site_name", "county_name"]
     near = nearest_station(sites.where(located), stations).select(*names, "weather_station", "distance_km")

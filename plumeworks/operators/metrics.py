@@ -5,6 +5,7 @@ groups come out of a single aggregation. Users add a metric by adding an entry.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, Window
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from plumeworks import constants as C
 from plumeworks.operators.clean import restrict_no2
-from plumeworks.operators.series import GROUP_SITE, SITE, rolling_mean, site_days, site_series
+from plumeworks.operators.series import GROUP_SITE, SITE, rolling_mean, site_days, site_names, site_series
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,7 @@ class Metric:
     units: str
     level: float | None = None
     every_year: bool = False  # emit 0 for years without data between first and last year
+    eight_hour: bool = False  # uses ``max_8h``, the daily peak of the 8-hour mean
 
 
 def nth_highest(column, n):
@@ -39,12 +41,13 @@ def exceedance_days(level):
 
 # --- fixed values: metric, group, units and standard level ------------------
 METRICS = [
-    Metric("ozone_8hr_4th_max", "Ozone", lambda: nth_highest("max_8h", 4), "ppm", 0.070),
+    Metric("ozone_8hr_4th_max", "Ozone", lambda: nth_highest("max_8h", 4), "ppm", 0.070,
+           eight_hour=True),
     Metric("pm25_annual_mean", "PM2.5", lambda: F.avg("valid_mean"), "ug/m3", 9.0),
     Metric("pm25_24hr_p98", "PM2.5", lambda: F.percentile("valid_mean", F.lit(0.98)), "ug/m3", 35.0),
     Metric("pm10_24hr_exceedances", "PM10", lambda: exceedance_days(C.PM10_DAILY_LEVEL), "count",
            every_year=True),
-    Metric("co_8hr_max", "CO", lambda: F.max("max_8h"), "ppm", 9.0),
+    Metric("co_8hr_max", "CO", lambda: F.max("max_8h"), "ppm", 9.0, eight_hour=True),
     Metric("co_1hr_max", "CO", lambda: F.max("day_max"), "ppm", 35.0),
     Metric("so2_1hr_p99", "SO2", lambda: F.percentile("valid_max", F.lit(0.99)), "ppb", 75.0),
     Metric("no2_1hr_p98", "NOx_Family", lambda: F.percentile("valid_max", F.lit(0.98)), "ppb", 100.0),
@@ -80,8 +83,18 @@ def metric_from_hourly(hourly, name, keys=SITE, min_hours=C.MIN_HOURS_DAY, min_8
     """One named metric straight from hourly rows of its group."""
     metric = METRIC_BY_NAME[name]
     rows = restrict_no2(hourly.where(F.col("pollutant_group") == metric.group))
-    rolled = rolling_mean(site_series(rows, keys), keys, min_periods=min_8h)
-    return yearly_metric(site_days(rolled, keys, min_hours), metric, keys)
+    days = _placed_days(rows, keys, metric.eight_hour, min_hours, min_8h)
+    return yearly_metric(days, metric, keys)
+
+
+def _placed_days(rows, keys, eight_hour, min_hours, min_8h):
+    """Site-days placed by site. The trailing window is only paid for where it is used."""
+    series = site_series(rows, keys)
+    if eight_hour:
+        placed = rolling_mean(series, keys, min_periods=min_8h)
+    else:
+        placed = series.repartition(*keys)
+    return site_days(placed, keys, min_hours)
 
 
 def nth_highest_day(days, n=4, keys=SITE):
@@ -96,24 +109,38 @@ def nth_highest_day(days, n=4, keys=SITE):
 
 
 def design_values(hourly, metrics=METRICS, min_hours=C.MIN_HOURS_DAY, min_8h=C.MIN_HOURS_8H):
-    """All metrics of all groups in one pass.
+    """All metrics of all groups.
 
-    Two shuffles in total: the hourly average on (group, site, timestamp), then one on
-    (group, site) that the window, the site-days, the yearly aggregates, the names and the
-    empty-year fill all share.
+    Measurements are shuffled twice: the hourly average on (group, site, timestamp), then one
+    on (group, site) that the window, the site-days, the yearly aggregates and the empty-year
+    fill share. Groups with 8-hour metrics form one branch and the others a second one without
+    the window; partition pruning gives each branch its own folders, so nothing is read twice.
     """
-    names = ["site_name", "county_name"]
+    windowed = {m.group for m in metrics if m.eight_hour}
+    rows = restrict_no2(hourly)
+    branches = []
+    for eight_hour in (True, False):
+        chosen = [m for m in metrics if (m.group in windowed) == eight_hour]
+        if chosen:
+            part = rows.where(F.col("pollutant_group").isin(*sorted({m.group for m in chosen})))
+            days = _placed_days(part, GROUP_SITE, eight_hour, min_hours, min_8h)
+            branches.append(_long_values(days, chosen))
     groups = sorted({m.group for m in metrics})
-    rows = restrict_no2(hourly.where(F.col("pollutant_group").isin(*groups)))
-    series = site_series(rows, GROUP_SITE, carry=names)
-    rolled = rolling_mean(series, GROUP_SITE, min_periods=min_8h)
-    days = site_days(rolled, GROUP_SITE, min_hours, carry=names)
-    yearly = days.groupBy(*GROUP_SITE, "year").agg(
-        *[m.expression().alias(m.name) for m in metrics], *[F.min(c).alias(c) for c in names]
+    names = site_names(rows.where(F.col("pollutant_group").isin(*groups)), GROUP_SITE)
+    return (
+        reduce(lambda a, b: a.unionByName(b), branches)
+        .join(names, GROUP_SITE, "left")
+        .select(
+            "aqsid", "year", "pollutant_group", "metric", "value", "units", "naaqs_level",
+            F.coalesce(F.col("value") > F.col("naaqs_level"), F.lit(False)).alias("exceeds"),
+            "site_name", "county_name",
+        )
     )
-    site = Window.partitionBy(*GROUP_SITE)
-    for c in names:
-        yearly = yearly.withColumn(c, F.min(c).over(site))
+
+
+def _long_values(days, metrics):
+    """All metrics of site-days in one aggregation, one row per metric that has a value."""
+    yearly = days.groupBy(*GROUP_SITE, "year").agg(*[m.expression().alias(m.name) for m in metrics])
     entries = [
         F.struct(
             F.lit(m.group).alias("metric_group"),
@@ -125,17 +152,9 @@ def design_values(hourly, metrics=METRICS, min_hours=C.MIN_HOURS_DAY, min_8h=C.M
         )
         for m in metrics
     ]
-    long = yearly.select(*GROUP_SITE, "year", *names, F.inline(F.array(*entries)))
+    long = yearly.select(*GROUP_SITE, "year", F.inline(F.array(*entries)))
     long = long.where(F.col("metric_group") == F.col("pollutant_group"))
-    return (
-        fill_years(long, GROUP_SITE + ["metric"])
-        .where(F.col("value").isNotNull())
-        .select(
-            "aqsid", "year", "pollutant_group", "metric", "value", "units", "naaqs_level",
-            F.coalesce(F.col("value") > F.col("naaqs_level"), F.lit(False)).alias("exceeds"),
-            "site_name", "county_name",
-        )
-    )
+    return fill_years(long, GROUP_SITE + ["metric"]).where(F.col("value").isNotNull()).drop("every_year", "metric_group")
 
 
 def coverage(values):

@@ -15,23 +15,22 @@ SITE = ["aqsid"]
 GROUP_SITE = ["pollutant_group", "aqsid"]
 
 
-def site_series(hourly, keys=SITE, carry=()):
-    """Mean of all rows sharing a site and timestamp. Rows without a site are left out.
+def site_series(hourly, keys=SITE):
+    """Mean of all rows sharing a site and timestamp. Rows without a site are left out."""
+    known = hourly.where(F.col("aqsid").isNotNull() & F.col("datetime").isNotNull())
+    return known.groupBy(*keys, "datetime").agg(F.avg("sample_measurement").alias("value"))
+
+
+def site_names(hourly, keys=SITE, names=("site_name", "county_name")):
+    """Smallest non-null name and county per site.
 
-    ``carry`` names text columns kept with the series (smallest non-null per timestamp).
-    They join the first grouping, so it stays a hash aggregate with map-side partial sums;
-    what is left is placed by site once, where the windows and daily values also need it.
+    Kept apart from the series, so the large aggregations carry numbers only. The distinct
+    combinations come from a hash aggregate over a few dictionary-encoded columns; placing
+    them by site keeps the optimizer from folding them into the text minima, which would
+    sort every row.
     """
-    known = hourly.where(F.col("aqsid").isNotNull() & F.col("datetime").isNotNull())
-    if not carry:
-        return known.groupBy(*keys, "datetime").agg(F.avg("sample_measurement").alias("value"))
-    partial = known.groupBy(*keys, "datetime", *carry).agg(
-        F.sum("sample_measurement").alias("_sum"), F.count("sample_measurement").alias("_n")
-    )
-    return partial.repartition(*keys).groupBy(*keys, "datetime").agg(
-        (F.sum("_sum") / F.nullif(F.sum("_n"), F.lit(0))).alias("value"),
-        *[F.min(c).alias(c) for c in carry],
-    )
+    combos = hourly.where(F.col("aqsid").isNotNull()).select(*keys, *names).distinct()
+    return combos.repartition(*keys).groupBy(*keys).agg(*[F.min(c).alias(c) for c in names])
 
 
 def rolling_mean(series, keys=SITE, rows=8, min_periods=C.MIN_HOURS_8H, name="mean_8h"):
@@ -72,20 +71,21 @@ def daily_max_8h(rolled, keys=SITE):
     )
 
 
-def site_days(rolled, keys=SITE, min_hours=C.MIN_HOURS_DAY, carry=()):
+def site_days(rolled, keys=SITE, min_hours=C.MIN_HOURS_DAY):
     """Everything the yearly metrics need, one row per site-day.
 
-    Grouping by a superset of the window's keys reuses its partitioning: no new shuffle.
+    Rows already placed by ``keys`` (by the window, or on purpose) are not shuffled again.
+    ``max_8h`` is there when the rows carry the 8-hour mean.
     """
     enough = F.col("n_hours") >= min_hours
+    peak = [F.max("mean_8h").alias("max_8h")] if "mean_8h" in rolled.columns else []
     return (
         rolled.groupBy(*keys, F.to_date("datetime").alias("day"))
         .agg(
             F.count("value").alias("n_hours"),
             F.avg("value").alias("day_mean"),
             F.max("value").alias("day_max"),
-            F.max("mean_8h").alias("max_8h"),
-            *[F.min(c).alias(c) for c in carry],
+            *peak,
         )
         .withColumn("valid_mean", F.when(enough, F.col("day_mean")))
         .withColumn("valid_max", F.when(enough, F.col("day_max")))

@@ -594,7 +594,7 @@ def _(t):
 
 @query("A19_site_list", "SELECT aqsid, site_name, county_name FROM sites")
 def _(t):
-    return merge.site_list(t.get("daily"))
+    return series.site_names(t.get("daily"))
 
 
 _ACTIVE = "aqsid, state_code, county_code, site_number, site_name, county_name, network, pollutants, n_pollutants, first_date, last_date, n_records"
@@ -660,7 +660,7 @@ def _(t):
 
 @query("J3_attach_coordinates", "SELECT aqsid, site_name, county_name, lat, lon FROM sites", "lat lon")
 def _(t):
-    return merge.attach_coordinates(merge.site_list(t.get("daily")), t.get("coords"))
+    return merge.attach_coordinates(series.site_names(t.get("daily")), t.get("coords"))
 
 
 _CUSTOMER_SITES = """SELECT c_name AS aqsid, (c_custkey * 611 % 6007) / 50.0 - 60.0 AS lat, (c_custkey * 907 % 17011) / 50.0 - 170.0 AS lon FROM customer"""

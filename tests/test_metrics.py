@@ -122,6 +122,10 @@ def test_user_defined_metric(spark):
     ]
 
 
-def test_design_values_use_two_shuffles(spark):
+def test_each_branch_shuffles_measurements_twice(spark):
     plan = metrics.design_values(hours(spark, "2023-01-01", [1.0] * 9))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 2
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("datetime" in line for line in exchanges) == 2  # the hourly average, one per branch
+    assert sum("site_name" in line for line in exchanges) == 1  # the names, distinct before they move
+    windows = [line for line in plan.splitlines() if "specifiedwindowframe(RowFrame, -7" in line]
+    assert len(windows) == 1

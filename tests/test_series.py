@@ -40,9 +40,15 @@ def test_rolling_mean_equals_pandas_on_random_series(spark):
 def test_series_averages_everything_at_a_timestamp_and_skips_unknown_sites(spark):
     rows = hours(spark, "2023-07-01", [1.0, None]).unionByName(hours(spark, "2023-07-01", [4.0, None]))
     rows = rows.unionByName(hours(spark, "2023-07-01", [9.0], aqsid=None))
-    for carry in ((), ("site_name", "county_name")):
-        out = table(series.site_series(rows, carry=carry).select("aqsid", "datetime", "value"), "datetime")
-        assert out == [("A", dt.datetime(2023, 7, 1), 2.5), ("A", dt.datetime(2023, 7, 1, 1), None)]
+    out = table(series.site_series(rows), "datetime")
+    assert out == [("A", dt.datetime(2023, 7, 1), 2.5), ("A", dt.datetime(2023, 7, 1, 1), None)]
+
+
+def test_site_names_are_the_smallest_non_null(spark):
+    rows = hours(spark, "2023-07-01", [1.0, 2.0, 3.0])
+    rows = rows.withColumn("site_name", F.when(F.hour("datetime") == 1, "B").when(F.hour("datetime") == 2, "A"))
+    rows = rows.unionByName(hours(spark, "2023-07-01", [1.0], aqsid=None))
+    assert table(series.site_names(rows), "aqsid") == [("A", "A", "Bexar")]
 
 
 def test_days_need_eighteen_hours(spark):
