@@ -1,5 +1,6 @@
 """Mixing sources to target weights by the cube method of balanced sampling."""
 
+from itertools import product
 from typing import Any
 
 import numpy as np
@@ -59,7 +60,7 @@ def flight(size, pi, seed, land=False):
     Three fractional documents have one direction that changes neither the total size nor the total count: the cross
     product of their sizes with ones. A step goes along it, one way or the other with the chances that keep every
     expectation, until one of the three is 0 or 1; the next document takes its place. At most two documents, or one
-    size value, stay fractional. ``land`` decides these: first keeping the size alone, then the last by itself.
+    size value, stay fractional. ``land`` decides these: the outcome whose total size is nearest, then whose count is.
     """
     p, size = [float(x) for x in pi], [float(x) for x in size]
     draw = _uniform(np.random.default_rng(seed))
@@ -87,13 +88,11 @@ def flight(size, pi, seed, land=False):
     if len(live) == 2 and size[live[0]] == size[live[1]]:
         move(live, (1.0, -1.0))
         live = [x for x in live if 0 < p[x] < 1]
-    if land and len(live) == 2 and all(size[x] for x in live):
-        top = max(size[x] for x in live)
-        move(live, (size[live[1]] / top, -size[live[0]] / top))
-        live = [x for x in live if 0 < p[x] < 1]
-    if land:
-        for x in live:
-            p[x] = 1.0 if next(draw) < p[x] else 0.0
+    if land and live:
+        outcomes = [dict(zip(live, x)) for x in product((0.0, 1.0), repeat=len(live))]
+        off = lambda x: (abs(sum(size[k] * (v - p[k]) for k, v in x.items())), abs(sum(v - p[k] for k, v in x.items())))
+        for k, v in min(outcomes, key=off).items():
+            p[k] = v
     return p
 
 
