@@ -2,17 +2,20 @@
 
 import re
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 
 #: The tokenizer file, the id that ends each document, texts encoded at once, and words remembered by a Python worker.
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-BATCH = 64
-WORDS_KEPT = 400_000
+BATCH = 128
+WORDS_KEPT = 1_000_000
 #: A space between two white-space characters may share a token with them, so such texts are encoded in one go.
 _JOINED = re.compile(r"\s (?:\s|\Z)")
 _known: dict[str, bytes] = {}
+_before: dict[str, bytes] = {}
+_endings: dict[str, bytes] = {}
 
 
 @lru_cache(2)
@@ -40,6 +43,49 @@ def _ids(encoding) -> bytes:
     return np.array(encoding.ids, "<u4").tobytes()
 
 
+def _learn(words: list[str], path: str) -> None:
+    """Remembers the ids of words, each with a space before it. When half of ``WORDS_KEPT`` are held, a new half begins; words
+    that are met again are taken over from the last one.
+
+    They are encoded as the lines of one text, which costs far less than one call each: a line break between two words is a
+    token of its own. Words with white space inside, and all if the count of breaks is not as expected, are encoded singly.
+    Punctuation behind a letter or digit is a token run of its own, so it is encoded apart from its word.
+    """
+    t = tokenizer(path)
+    if 2 * (len(_known) + len(words)) > WORDS_KEPT:
+        _before.clear()
+        _before.update(_known)
+        _known.clear()
+        _endings.clear()
+    again = [w for w in words if w in _before]
+    _known.update(zip(again, map(_before.__getitem__, again)))
+    words = [w for w in words if w not in _before]
+    ended = {}
+    for word in words:
+        base = word.rstrip(punctuation)
+        if base and base != word and base[-1].isalnum():
+            if base in _before:
+                _known[base] = _before[base]
+            ended[word] = base, word[len(base) :]
+    endings = list({e for _, e in ended.values()}.difference(_endings))
+    _endings.update(zip(endings, map(_ids, t.encode_batch_fast(endings, add_special_tokens=False))))
+    words = list({ended[w][0] if w in ended else w for w in words}.difference(_known))
+    plain = [w for w in words if w.split() == [w]]
+    if len(plain) > 1:
+        ids = np.array(t.encode_batch_fast(["\n".join([" " + w for w in plain])], add_special_tokens=False)[0].ids, "<u4")
+        breaks = t.encode("\n", add_special_tokens=False).ids
+        at = np.flatnonzero(ids == breaks[0])
+        if len(breaks) == 1 and len(at) == len(plain) - 1:
+            data = ids.tobytes()
+            starts, ends = [0, *(4 * (at + 1)).tolist()], [*(4 * at).tolist(), len(data)]
+            _known.update(zip(plain, [data[a:b] for a, b in zip(starts, ends)]))
+    rest = [w for w in words if w not in _known]
+    for word, encoding in zip(rest, t.encode_batch_fast([" " + w for w in rest], add_special_tokens=False)):
+        _known[word] = _ids(encoding)
+    for word, (base, ending) in ended.items():
+        _known[word] = _known[base] + _endings[ending]
+
+
 def encode_texts(texts, path: str, end: bytes) -> list[bytes]:
     """The ids of each text and the end id, 4 bytes each; a null text counts as empty.
 
@@ -49,30 +95,27 @@ def encode_texts(texts, path: str, end: bytes) -> list[bytes]:
     """
     t = tokenizer(path)
     special = [str(x.content) for x in t.get_added_tokens_decoder().values()]
-    cut = []
-    for text in texts:
+    whole, cut, new = {}, {}, set()
+    for k, text in enumerate(texts):
         if not text:
-            cut.append([])
+            whole[k] = b""
         elif not _splits_at_spaces(path) or _JOINED.search(text) or any(s in text for s in special):
-            cut.append(text)
+            whole[k] = _ids(t.encode(text, add_special_tokens=False))
         else:
-            words = text.split(" ")
-            cut.append([words[0], *[" " + w for w in words[1:]]])
-    new = set()
-    for words in cut:
-        if isinstance(words, list):
-            new.update(words)
-    fresh = new.difference(_known)
-    if len(_known) + len(fresh) > WORDS_KEPT:
-        _known.clear()
-        fresh = new
-    fresh = list(fresh)
-    for word, encoding in zip(fresh, t.encode_batch_fast(fresh, add_special_tokens=False)):
-        _known[word] = _ids(encoding)
-    return [
-        (b"".join(map(_known.__getitem__, words)) if isinstance(words, list) else _ids(t.encode(words, add_special_tokens=False))) + end
-        for words in cut
-    ]
+            head, *words = text.split(" ")
+            parts = list(map(_known.get, words))
+            gaps = [i for i, x in enumerate(parts) if x is None] if None in parts else []
+            lost = [words[i] for i in gaps]
+            new.update(lost)
+            cut[k] = head, parts, gaps, lost
+    if new:
+        _learn(list(new), path)
+    heads = t.encode_batch_fast([c[0] for c in cut.values()], add_special_tokens=False)
+    for (k, (_, parts, gaps, lost)), first in zip(cut.items(), heads):
+        for i, word in zip(gaps, lost):
+            parts[i] = _known[word]
+        whole[k] = _ids(first) + b"".join(parts)
+    return [whole[k] + end for k in range(len(whole))]
 
 
 def encode_batches(batches, path: str, end_id: int = END_ID):
