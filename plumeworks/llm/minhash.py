@@ -131,13 +131,57 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> D
     return both.select("a", "ta", "b", "tb").mapInArrow(check, "a long, b long")
 
 
+def _prefixes(texts: DataFrame, words: int, least: float) -> DataFrame:
+    """``(token, u, pos, n, lone)``: the rarest shingles of each text, at least one of which any similar text shares.
+
+    A shingle's k-th occurrence is a token of its own, so weighted similarity is that of token sets. Tokens are ordered by
+    rarity; two sets of similarity ``least`` share one among the first ``n - ceil(least n) + 1`` of each. Tokens found in one
+    text are left out; ``lone`` counts them.
+    """
+
+    def explode(batches):
+        for batch in batches:
+            for u, cell in zip(batch.column(0), batch.column(1)):
+                elements, weights = shingles(cell.as_py(), words)
+                nth = np.arange(weights.sum()) - np.repeat(np.cumsum(weights) - weights, weights)
+                tokens = _mix(np.repeat(elements, weights) + nth.astype(np.uint64) * _K1).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(tokens), u.as_py())), pa.array(tokens)], ["u", "token"])
+
+    tokens = settle(texts.select("u", "t").mapInArrow(explode, "u long, token long"), "dart-tokens")
+    counted = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("df")), "token")
+    own = Window.partitionBy("u")
+    placed = counted.withColumns({
+        "pos": F.row_number().over(own.orderBy("df", "token")) - 1, "n": F.count("*").over(own), "lone": F.count_if(F.col("df") == 1).over(own)})
+    return placed.where((F.col("df") > 1) & (F.col("pos") < F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)).select("token", "u", "pos", "n", "lone")
+
+
+def _central_pairs(entries: DataFrame, least: float) -> DataFrame:
+    """Each text with the text of fewest lone tokens among those that share a rare token, where some are in other components."""
+    groups = entries.groupBy("token").agg(F.min_by("u", F.struct("lone", "u")).alias("pivot"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+    return entries.join(groups, "token").where("u <> pivot").select(F.least("u", "pivot").alias("a"), F.greatest("u", "pivot").alias("b")).distinct()
+
+
+def _crossing_pairs(entries: DataFrame, least: float) -> DataFrame:
+    """All pairs in different components that can still be similar.
+
+    At the first token two sets share, what lies behind it in either must reach the overlap that the similarity asks for.
+    """
+    other = entries.select("token", F.col("u").alias("v"), F.col("pos").alias("q"), F.col("n").alias("m"), F.col("c").alias("d"))
+    enough = F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("q")) >= (F.col("n") + F.col("m")) * (least / (1 + least)) - 1e-6
+    near = (F.col("c") < F.col("d")) & enough & (F.least("n", "m") >= F.greatest("n", "m") * least - 1e-6)
+    both = entries.join(other, (entries["token"] == other["token"]) & near)
+    return both.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words=WORDS, least=SIMILARITY, k=COORDINATES, rows=BAND_ROWS) -> DataFrame:
     """``(id, class_id, kept)`` of every row: documents linked directly or in turn share the smallest id of their class.
 
     Two texts are linked if a band of their signatures agrees and the weighted Jaccard similarity of their shingles, with
     repeats as weights, is at least ``least`` (a pair at 0.8 shares one of 32 bands of 4 but for 5 chances in 10^8). Exact copies
     are one text. In a bucket every text is compared with its smallest member, which ties most groups together without their
-    pairs; only where members of a bucket are then still in different components are those compared with each other.
+    pairs. Texts of a bucket that are then still in different components go on to an exact search among themselves: by their
+    rarest shingles, first with the most central text that shares one, then with every text of another component that the
+    overlap bounds allow.
 
     Rows without words (null, empty, blank) link with nothing. Rows with a null id get a null class and are kept; rows that
     share an id share a class. An empty table gives no rows.
@@ -170,12 +214,16 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words=WOR
     found = connected(links.unionByName(same))
     rest = crowded.join(found, F.col("u") == F.col("node"), "left").select("bucket", "u", F.coalesce("component", "u").alias("c"))
     split = rest.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bucket")
-    mixed = settle(rest.join(split, "bucket"), "dart-mixed")
-    other = mixed.select("bucket", F.col("u").alias("v"), F.col("c").alias("d"))
-    across = mixed.join(other, "bucket").where("c < d").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
-    late = settle(_verified(across.join(stars, ["a", "b"], "left_anti"), texts, words, least), "dart-late")
-    if not late.isEmpty():
-        found = connected(links.unionByName(late).unionByName(same))
+    unsettled = settle(rest.join(split, "bucket").select("u").distinct(), "dart-open")
+    if not unsettled.isEmpty():
+        entries = settle(_prefixes(texts.join(unsettled, "u"), words, least), "dart-prefixes")
+        for pairs_of in (_central_pairs, _crossing_pairs):
+            placed = entries.join(found, F.col("u") == F.col("node"), "left").withColumn("c", F.coalesce("component", "u")).drop("node", "component")
+            pairs = pairs_of(placed, least).join(stars, ["a", "b"], "left_anti")
+            more = settle(_verified(pairs, texts, words, least), "dart-late")
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                found = connected(links.unionByName(same))
     rows_of = docs.select(F.col(id_col)).join(found, F.col(id_col).cast("long") == F.col("node"), "left")
     class_id = F.coalesce("component", F.col(id_col).cast("long"))
     return rows_of.select(F.col(id_col), class_id.alias("class_id"), F.coalesce(class_id == F.col(id_col).cast("long"), F.lit(True)).alias("kept"))
