@@ -227,7 +227,7 @@ STATIC_REGISTRY_ROWS = [
     ("480291609", 29, 1609, "Calaveras Lake Park", "Bexar", "TSP", "excluded",
      "TSP only — outside project scope (PM2.5/PM10/O3/CO/NOx/SO2/VOCs)"),
     ("483551024", 355, 1024, "Williams Park", "Nueces", "", "disabled",
-     "Disabled according to the site inventory"),
+     "Disabled per 06_HTML_Reports/10_Site_Inventory_Report.html"),
 ]
 
 # --- fixed values: wind sectors (upper bound in degrees, label) -------------

@@ -40,11 +40,6 @@ def site_id(state, county, number):
     return F.concat(*parts)
 
 
-def date_text(ts):
-    """ISO date text of a timestamp column."""
-    return F.to_date(F.col(ts)).cast("string")
-
-
 def path_safe(text):
     """Replace characters that cannot appear in partition folder names, then trim."""
     return F.trim(F.regexp_replace(F.col(text), r'[\\/:*?"<>|]', "_"))
