@@ -66,6 +66,17 @@ WEATHER_SCHEMA = T.StructType(
         T.StructField("dhi_cloudy_sky", T.DoubleType()),
     ]
 )
+WEATHER_OTHER_COLUMNS = T.StructType(
+    [
+        T.StructField("location", T.StringType()),
+        T.StructField("station", T.StringType()),
+        T.StructField("station_name", T.StringType()),
+        T.StructField("hour", T.IntegerType()),
+        T.StructField("temp_c", T.DoubleType()),
+        T.StructField("feels_like_c", T.DoubleType()),
+        T.StructField("dew_point_c", T.DoubleType()),
+    ]
+)
 STATION_COLUMN_CANDIDATES = ("location", "site_name", "station", "station_name")
 
 # --- fixed values: site coordinate files ------------------------------------

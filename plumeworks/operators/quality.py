@@ -120,8 +120,10 @@ def check_measurements(df, source, expected_rows, tolerance_pct=1.0, window=C.DA
     absent = [c for c in C.DUPLICATE_HOUR_KEY if c not in df.columns]
     if absent:
         no_keys = result(f"no_duplicate_hours:{source}", False, detail=f"missing columns: {absent}")
-        measured = df.agg(F.count("*").alias("n_rows"))
-        return as_rows(measured, [schema, row_count_result("n_rows", expected_rows, source, tolerance_pct), no_keys])
+        day = F.col("date_local").try_cast("date") if "date_local" in df.columns else F.lit(None).cast("date")
+        measured = df.agg(F.count("*").alias("n_rows"), F.min(day).alias("min_date"), F.max(day).alias("max_date"))
+        dates = date_range_result("min_date", "max_date", source, window)
+        return as_rows(measured, [schema, row_count_result("n_rows", expected_rows, source, tolerance_pct), no_keys, dates])
     return as_rows(
         profile(df),
         [
@@ -133,6 +135,12 @@ def check_measurements(df, source, expected_rows, tolerance_pct=1.0, window=C.DA
     )
 
 
+def check_headers(spark, found):
+    """One schema row per file from its own header, ``found`` mapping files to their column names."""
+    named = {file.rsplit("/", 1)[-1]: names for file, names in found.items()}
+    return as_rows(spark.range(1), [schema_result(names, C.MEASUREMENT_COLUMNS, f) for f, names in sorted(named.items())])
+
+
 def missing_source(spark, source):
     """A source that is absent fails its schema check."""
     return as_rows(spark.range(1), [schema_result([], C.MEASUREMENT_COLUMNS, source)])

@@ -245,7 +245,7 @@ def _(t):
     state = coords.withColumn("state", F.substring("aqsid", 1, 2))
     writers.write_partitioned(state, paths["parquet_dir"], ["state"])
     parts = [
-        readers.load(t.spark, path, kind).select(F.lit(kind).alias("source"), "aqsid", "lat", "lon")
+        readers.load(t.spark, path, kind, coords.schema).select(F.lit(kind).alias("source"), "aqsid", "lat", "lon")
         for kind, path in paths.items()
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)

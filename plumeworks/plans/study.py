@@ -6,8 +6,8 @@ from plumeworks.plans.tables import LAYOUT
 from plumeworks.sources import readers, writers
 
 
-def validate(spark, measurements, weather_raw, expected, mapping=None):
-    """All data-quality checks over raw inputs as result rows.
+def validate(spark, measurements, weather_raw, expected, mapping=None, headers=None):
+    """All data-quality checks over raw inputs as result rows; ``headers`` are the columns of each measurement file.
 
     ``expected`` holds ``rows`` per group, ``sites``, ``counties``, ``groups``,
     ``weather_rows``, ``stations`` and ``tolerance_pct``.
@@ -23,6 +23,8 @@ def validate(spark, measurements, weather_raw, expected, mapping=None):
     ]
     if mapping is not None:
         reports.append(quality.check_mapping(mapping))
+    if headers:
+        reports.append(quality.check_headers(spark, headers))
     return quality.union_results(reports)
 
 
@@ -39,7 +41,8 @@ def build_study(
     raw = readers.measurement_folder(spark, measurement_folder).select(*C.MEASUREMENT_COLUMNS)
     weather_raw = readers.weather_csv(spark, weather_path, weather_schema)
     if expected:
-        report = quality.write_report(validate(spark, raw, weather_raw, expected), f"{out}/validation")
+        headers = readers.headers(spark, f"{measurement_folder}/{C.MEASUREMENT_FILE_GLOB}")
+        report = quality.write_report(validate(spark, raw, weather_raw, expected, headers=headers), f"{out}/validation")
         if not quality.roll_up(report).first()["passed"]:
             raise ValueError(f"raw data failed validation; see {out}/validation")
 

@@ -1,4 +1,10 @@
-"""Readers: declared schemas, no inference scans, filters left to Catalyst."""
+"""Readers: columns found by name, declared types, no inference scans, filters left to Catalyst."""
+
+import csv
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -6,26 +12,75 @@ from pyspark.sql import types as T
 from plumeworks import constants as C
 from plumeworks.functions.filters import predicate
 
-STRING_IDS = ("aqsid",)
+
+def headers(spark, path):
+    """``{file: column names}`` of the CSV files at a path; files without any line are left out.
+
+    One short job per file, which reads its first line only. A delivery is a few large files.
+    """
+    files = [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(f)) for f in spark.read.text(path).inputFiles()]
+    with ThreadPoolExecutor(8) as pool:
+        lines = list(pool.map(lambda f: spark.read.text(f).first(), files))
+    found = {f: next(csv.reader([line[0].lstrip("\ufeff")]), []) for f, line in zip(files, lines) if line}
+    return {f: [name.strip() for name in names] for f, names in found.items()}
+
+
+def _typed(name, kind):
+    """Text as the declared type; integers may be written as ``47.0``. What can't be read is null."""
+    text = F.col(f"`{name}`")
+    if not isinstance(kind, T.IntegralType):
+        return text.try_cast(kind).alias(name)
+    number = text.try_cast("double")
+    return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number).try_cast(kind)).alias(name)
+
+
+def csv_by_name(spark, path, schema, others=False, fill=True, tags=()):
+    """CSV files with headers, columns in any order, differing from file to file.
+
+    Columns of the schema get their type, and null where a file lacks them. With ``fill`` off, those that no file has are left
+    out. ``others`` keeps the remaining columns as text. A name that comes twice in a file stands for its first column. ``tags``
+    are further expressions over a file's rows. Files of one header are read together, so there is one scan per header.
+    """
+    kinds = {f.name: f.dataType for f in schema.fields}
+    folded = {n.lower() for n in kinds}
+    layouts = {}
+    for file, names in headers(spark, path).items():
+        layouts.setdefault(tuple(names), []).append(file)
+    parts = []
+    for names, files in layouts.items():
+        fields = []
+        for i, name in enumerate(names):
+            wanted = name in kinds or (others and name and name.lower() not in folded)
+            twice = name.lower() in {f.lower() for f in fields}
+            fields.append(name if wanted and not twice else f"_unused_{i}")
+        text = T.StructType([T.StructField(f, T.StringType()) for f in fields])
+        kept = [_typed(f, kinds.get(f, T.StringType())) for f, name in zip(fields, names) if f == name]
+        parts.append(spark.read.schema(text).option("header", True).csv(files).select(*kept, *tags))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rest = [c for c in df.columns if c not in kinds]
+    declared = [F.col(n) if n in df.columns else F.lit(None).cast(k).alias(n) for n, k in kinds.items() if fill or n in df.columns]
+    return df.select(*declared, *[F.col(f"`{c}`") for c in rest])
 
 
 def measurement_csv(spark, path):
     """Typed measurement CSV: a file, a folder or a path pattern."""
-    reader = spark.read.schema(C.MEASUREMENT_SCHEMA).option("header", True)
-    return reader.option("enforceSchema", False).csv(path)
+    return csv_by_name(spark, path, C.MEASUREMENT_SCHEMA)
 
 
 def measurement_folder(spark, path):
-    """All measurement files of a folder in one distributed read, tagged with their file name."""
+    """All measurement files of a folder, tagged with their file name."""
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+_AllCounties_[^/]+)", 1)
-    return measurement_csv(spark, f"{path}/{C.MEASUREMENT_FILE_GLOB}").select(
-        "*", F.url_decode(name).alias("source_file")
-    )
+    tag = F.url_decode(name).alias("source_file")
+    return csv_by_name(spark, f"{path}/{C.MEASUREMENT_FILE_GLOB}", C.MEASUREMENT_SCHEMA, tags=[tag])
 
 
 def weather_csv(spark, path, schema=C.WEATHER_SCHEMA):
-    """Weather master CSV; pass another schema for a variant with other columns."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    """Weather master CSV in any of its layouts: absent columns stay absent, further ones are kept."""
+    known = {f.name for f in schema.fields}
+    more = [f for f in C.WEATHER_OTHER_COLUMNS.fields if f.name not in known]
+    return csv_by_name(spark, path, T.StructType([*schema.fields, *more]), others=True, fill=False)
 
 
 def parquet_dataset(spark, path, columns=None, filters=()):
@@ -36,7 +91,7 @@ def parquet_dataset(spark, path, columns=None, filters=()):
 
 def site_reference(spark, path):
     """Site coordinates CSV as ``(aqsid, lat, lon)`` with the id kept as text."""
-    raw = spark.read.schema(C.SITE_REFERENCE_SCHEMA).option("header", True).csv(path)
+    raw = csv_by_name(spark, path, T.StructType.fromDDL(C.SITE_REFERENCE_SCHEMA), fill=False)
     return coordinates(raw, "aqsid", "latitude", "longitude")
 
 
@@ -77,23 +132,10 @@ def api_records(spark, path, whole_documents=False):
     return spark.read.schema(schema).option("multiLine", whole_documents).json(path)
 
 
-def load(spark, path, source):
-    """Dispatch by source kind: ``csv``, ``parquet`` or ``parquet_dir``."""
+def load(spark, path, source, schema=None):
+    """Dispatch by source kind: ``csv``, ``parquet`` or ``parquet_dir``. CSV columns outside the schema are text."""
     if source == "csv":
-        return text_ids(spark.read.option("header", True).option("inferSchema", True), path, spark)
+        return csv_by_name(spark, path, schema or T.StructType(), others=True, fill=False)
     if source in ("parquet", "parquet_dir"):
         return parquet_dataset(spark, path)
     raise ValueError(f"unknown source kind: {source!r}")
-
-
-def text_ids(reader, path, spark):
-    """Inferred CSV, but site ids stay text: read the header alone, then infer the rest."""
-    header = spark.read.option("header", True).csv(path).columns
-    df = reader.csv(path)
-    if not set(STRING_IDS) & set(header):
-        return df
-    schema = df.schema
-    for field in schema.fields:
-        if field.name in STRING_IDS:
-            field.dataType = T.StringType()
-    return spark.read.schema(schema).option("header", True).csv(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumeworks import constants as C
 from plumeworks.functions.filters import predicate
-from plumeworks.operators import clean, refresh
+from plumeworks.operators import clean, quality, refresh, weather
 from plumeworks.sources import readers, writers
 
 
@@ -39,6 +39,32 @@ def test_folder_discovery_ignores_other_files(spark, folder):
     ]
 
 
+def test_files_of_any_column_order_are_read_by_name(spark, folder):
+    names = list(DEFAULTS)
+    swapped = [*reversed(names), "surplus"]
+    row = dict(DEFAULTS, poc="47.0", method_code="XX", site_name="a, b")
+    write(f"{folder}/CO_AllCounties_1.csv", ",".join(swapped) + "\n" + ",".join(f'"{row.get(n, 1)}"' for n in swapped) + "\n")
+    short = [n for n in names if n != "site_name"]
+    write(f"{folder}/PM2.5_AllCounties_2 b.csv", "\ufeff" + ",".join(short) + "\n" + ",".join(str(DEFAULTS[n]) for n in short) + "\n")
+    write(f"{folder}/SO2_AllCounties_3.csv", "")
+    rows = {r["source_file"]: r for r in readers.measurement_folder(spark, folder).collect()}
+    one, two = rows["CO_AllCounties_1.csv"], rows["PM2.5_AllCounties_2 b.csv"]
+    assert len(rows) == 2
+    assert (one["poc"], one["method_code"], one["site_name"], one["aqsid"]) == (47, None, "a, b", DEFAULTS["aqsid"])
+    assert (two["site_name"], two["state_code"], two["aqsid"]) == (None, DEFAULTS["state_code"], DEFAULTS["aqsid"])
+    found = readers.headers(spark, f"{folder}/*_AllCounties_1.csv")
+    got = {r["name"]: (r["passed"], r["detail"]) for r in quality.check_headers(spark, found).collect()}
+    assert got == {"schema:CO_AllCounties_1.csv": (False, "extra=['surplus']")}
+
+
+def test_weather_layouts(spark, folder):
+    path = write(f"{folder}/w.csv", "humidity,location,note,temp,datetime_local\n50,Bay,x,300.15,2023-07-01 05:00:00\n")
+    df = readers.weather_csv(spark, path)
+    assert set(df.columns) == {"humidity", "location", "note", "temp", "datetime_local"}
+    got = weather.build_weather(df).first()
+    assert (got["location"], got["hour"], got["year"], round(got["temp_c"], 6)) == ("Bay", 5, 2023, 27.0)
+
+
 def test_filters(spark):
     df = raw(spark, {"poc": 1}, {"poc": 2}, {"poc": 3, "aqsid": "B"})
     def n(*filters):
@@ -151,6 +177,8 @@ def test_exports_and_dispatch(spark, folder):
 def test_site_reference(spark, folder):
     path = write(f"{folder}/s.csv", "aqsid,latitude,longitude\n040290052,29.5,-98.5\n")
     assert tuple(readers.site_reference(spark, path).first()) == ("040290052", 29.5, -98.5)
+    other = write(f"{folder}/o.csv", "site_name,AQSID,longitude,aqsid,latitude\nX,Y,-98.5,040290052,29.5\n")
+    assert tuple(readers.site_reference(spark, other).first()) == ("040290052", 29.5, -98.5)
 
 
 def rd(**over):
