@@ -56,4 +56,38 @@ QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_cube_mix, op3_dart_minhash, op4_page_text, op5_secret_ledger, op6_language_id, op7_hamming_top_k,
     op8_best_fit_packing, op9_cover_tree_dedup, op10_line_dedup,
 )}
-ORACLE: dict[str, str] = {}
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"
+ORACLE: dict[str, str] = {
+    "op7_hamming_top_k": f"""
+        WITH bits AS (
+            SELECT vec_id AS id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings WHERE {_FINITE}
+        ), folded AS (
+            SELECT id, i % 64 AS bit, count(*) FILTER (WHERE x > 0) % 2 AS b FROM bits GROUP BY ALL
+        ), codes AS (
+            SELECT id, list(b ORDER BY bit) AS code FROM folded GROUP BY id
+        ), pairs AS (
+            SELECT q.id AS query_id, r.id, CAST(len(list_filter(list_zip(q.code, r.code), lambda z: z[1] <> z[2])) AS INTEGER) AS distance
+            FROM codes q JOIN codes r ON q.id % 20 = 0 AND q.id <> r.id
+        ), ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank, id, distance FROM pairs
+        )
+        SELECT query_id, rank, id, distance FROM ranked WHERE rank <= {hamming.K}""",
+    "op9_cover_tree_dedup": f"""
+        WITH RECURSIVE live AS (
+            SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+            WHERE {_FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.id AS a, b.id AS b FROM live a JOIN live b ON a.id <> b.id
+            WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= {cover_tree.THRESHOLD} ELSE false END
+        ), reached AS (
+            SELECT vec_id AS id, vec_id AS other FROM embeddings WHERE vec_id IS NOT NULL
+            UNION
+            SELECT r.id, l.b FROM reached r JOIN links l ON r.other = l.a
+        ), components AS (
+            SELECT id, min(other) AS component_id FROM reached GROUP BY id
+        ), degrees AS (
+            SELECT a AS id, count(*) AS n FROM links GROUP BY a
+        )
+        SELECT c.id AS vec_id, coalesce(d.n, 0) AS n_links, c.component_id, c.id = c.component_id AS kept
+        FROM components c LEFT JOIN degrees d USING (id)""",
+}
