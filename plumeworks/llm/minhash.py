@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plumeworks.llm.common import connected, settle
+from plumeworks.llm.common import connected, settle, small_side
 
 #: Words of a shingle, least weighted Jaccard similarity, coordinates of a signature and rows of a band.
 WORDS = 5
@@ -136,7 +136,7 @@ def _prefixes(texts: DataFrame, words: int, least: float) -> DataFrame:
 
     A shingle's k-th occurrence is a token of its own, so weighted similarity is that of token sets. Tokens are ordered by
     rarity; two sets of similarity ``least`` share one among the first ``n - ceil(least n) + 1`` of each. Tokens found in one
-    text are left out; ``lone`` counts them.
+    text come first and are only counted, as ``lone``; they are not shuffled again.
     """
 
     def explode(batches):
@@ -148,11 +148,12 @@ def _prefixes(texts: DataFrame, words: int, least: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(tokens), u.as_py())), pa.array(tokens)], ["u", "token"])
 
     tokens = settle(texts.select("u", "t").mapInArrow(explode, "u long, token long"), "dart-tokens")
-    counted = tokens.join(tokens.groupBy("token").agg(F.count("*").alias("df")), "token")
+    shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     own = Window.partitionBy("u")
-    placed = counted.withColumns({
-        "pos": F.row_number().over(own.orderBy("df", "token")) - 1, "n": F.count("*").over(own), "lone": F.count_if(F.col("df") == 1).over(own)})
-    return placed.where((F.col("df") > 1) & (F.col("pos") < F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1)).select("token", "u", "pos", "n", "lone")
+    counted = tokens.join(shared, "token").withColumns({"nth": F.row_number().over(own.orderBy("df", "token")), "common": F.count("*").over(own)})
+    placed = counted.join(tokens.groupBy("u").agg(F.count("*").alias("n")), "u")
+    placed = placed.withColumn("lone", F.col("n") - F.col("common")).withColumn("pos", F.col("lone") + F.col("nth") - 1)
+    return placed.where(F.col("pos") < F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).select("token", "u", "pos", "n", "lone")
 
 
 def _central_pairs(entries: DataFrame, least: float) -> DataFrame:
@@ -205,10 +206,11 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words=WOR
     members = settle(live.join(texts_of, "copy").select("id", "u", F.when(F.col("id") == F.col("u"), F.col("bands")).alias("bands")), "dart-members")
     entries = members.where("bands IS NOT NULL").select("u", F.explode("bands").alias("bucket"))
     buckets = settle(entries.groupBy("bucket").agg(F.min("u").alias("pivot"), F.max("u").alias("top")).where("pivot < top").select("bucket", "pivot"), "dart-buckets")
-    crowded = settle(entries.join(buckets, "bucket").distinct(), "dart-crowded")
+    crowded = settle(entries.join(small_side(buckets), "bucket").distinct(), "dart-crowded")
     stars = settle(crowded.where("u <> pivot").select(F.col("pivot").alias("a"), F.col("u").alias("b")).distinct(), "dart-stars")
     wanted = stars.select(F.col("a").alias("u")).union(stars.select(F.col("b").alias("u"))).distinct()
-    texts = settle(named.select(F.col("id").alias("u"), "copy", "t").join(wanted, "u").join(texts_of, ["copy", "u"]).dropDuplicates(["u", "copy"]).select("u", "t"), "dart-texts")
+    keys = settle(texts_of.join(wanted, "u"), "dart-keys")
+    texts = settle(named.select(F.col("id").alias("u"), "copy", "t").join(small_side(keys), ["copy", "u"]).dropDuplicates(["u", "copy"]).select("u", "t"), "dart-texts")
     links = settle(_verified(stars, texts, words, least), "dart-links")
     same = members.where("id <> u").select(F.col("u").alias("a"), F.col("id").alias("b"))
     found = connected(links.unionByName(same))
