@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumeworks import constants as C
 from plumeworks.functions.expressions import all_of, inline_table, join_same
 from plumeworks.operators.clean import derive_time
+from plumeworks.session import settle
 from plumeworks.sources.readers import parquet_dataset
 
 
@@ -50,13 +51,13 @@ def new_rows(delta, existing, keys):
     lost executor picks the same one.
     """
     rest = [c for c in delta.columns if c not in keys]
-    picked = (
-        delta.groupBy(*keys)
+    absent = join_same(delta, existing.select(*keys), keys, "left_anti")  # known keys go before anything is folded
+    return (
+        absent.groupBy(*keys)
         .agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("_rest"))
         .select(*keys, "_rest.*")
         .select(*delta.columns)
     )
-    return join_same(picked, existing.select(*keys), keys, "left_anti")
 
 
 def touched_partitions(existing, delta, cols):
@@ -74,25 +75,32 @@ def append_delta(spark, delta, path, keys=C.APPEND_KEY, partition_cols=("polluta
     """Append rows of known groups with new keys and report what each group gained.
 
     One partitioned write routes the rows to their group folders; groups outside the
-    store are left out. Existing rows always win. The report counts the store before and
-    after, which needs no data columns, so the anti join runs once.
+    store are left out. Existing rows always win. The delta is computed once, and the report
+    counts the rows that were written.
     """
     cols = list(partition_cols)
     existing = parquet_dataset(spark, path)
     before = group_counts(spark, path)
     delta = delta.where(F.col("pollutant_group").isin(*C.REFRESH_GROUPS)).select(*existing.columns)
+    delta = settle(delta, "append-delta")
     # Every group is a store of its own, so the key holds within the group.
     key = list(dict.fromkeys(["pollutant_group", *keys]))
-    _append(new_rows(delta, touched_partitions(existing, delta, cols), key), path, cols)
-    after = group_counts(spark, path)
-    rows = [(g, before.get(g, 0), after.get(g, 0) - before.get(g, 0)) for g in C.REFRESH_GROUPS]
+    fresh = settle(new_rows(delta, touched_partitions(existing, delta, cols), key), "append-new")
+    _append(fresh, path, cols)
+    added = counts_of(fresh)
+    rows = [(g, before.get(g, 0), added.get(g, 0)) for g in C.REFRESH_GROUPS]
     report = inline_table(spark, ["pollutant_group", "rows_before", "rows_added"], rows)
     return report.select("pollutant_group", *[F.col(c).cast("long") for c in report.columns[1:]])
 
 
 def group_counts(spark, path):
-    """Rows per known group of a store; at most one entry per group reaches the driver."""
-    rows = parquet_dataset(spark, path).where(F.col("pollutant_group").isin(*C.REFRESH_GROUPS))
+    """Rows per known group of a store."""
+    return counts_of(parquet_dataset(spark, path))
+
+
+def counts_of(df):
+    """Rows per known group; at most one entry per group reaches the driver."""
+    rows = df.where(F.col("pollutant_group").isin(*C.REFRESH_GROUPS))
     return {r["pollutant_group"]: r["n"] for r in rows.groupBy("pollutant_group").agg(F.count("*").alias("n")).collect()}
 
 
@@ -100,7 +108,7 @@ def insert_absent(spark, delta, path, partition_cols=("pollutant_group", "year")
     """Insert-if-absent into the hourly store, deriving the time columns first."""
     cols = list(partition_cols)
     store = parquet_dataset(spark, path)
-    rows = derive_time(delta).select(*store.columns)
+    rows = settle(derive_time(delta).select(*store.columns), "insert-delta")
     _append(new_rows(rows, touched_partitions(store, rows, cols), C.INSERT_KEY), path, cols)
 
 
