@@ -4,15 +4,16 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from plumeworks.llm.common import settle, small_side
 
-#: Shorter lines (code points, without outer white space) take no part. Lines up to one edit apart are duplicates.
+#: Lines of at least so many characters (code points, without outer white space) that are up to one edit apart are duplicates.
+#: Shorter ones are duplicates only if they are equal: one edit turns ``1.`` into ``2.`` and one name into another.
 MIN_CHARS = 16
 _SPACE = " \t\r\f\u000b"
 
 
-def line_rows(docs: DataFrame, id_col="doc_id", text_col="text", min_chars=MIN_CHARS) -> DataFrame:
+def line_rows(docs: DataFrame, id_col="doc_id", text_col="text", least_chars=1) -> DataFrame:
     """``(doc, pos, line, h, g)``: the trimmed lines that take part, with two hashes that together name the line."""
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "raw"))
-    rows = rows.select("doc", "pos", F.btrim("raw", F.lit(_SPACE)).alias("line")).where(F.length("line") >= min_chars)
+    rows = rows.select("doc", "pos", F.btrim("raw", F.lit(_SPACE)).alias("line")).where(F.length("line") >= least_chars)
     return rows.withColumns({"h": F.xxhash64("line"), "g": F.crc32(F.col("line").cast("binary")) * F.lit(1 << 20) + F.length("line") % F.lit(1 << 20)})
 
 
@@ -58,29 +59,30 @@ def near_lines(rows: DataFrame) -> DataFrame:
     return both.where(F.levenshtein("line", "other", 1).between(0, 1)).select("h", "g").distinct()
 
 
-def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", min_chars=MIN_CHARS) -> DataFrame:
+def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", min_chars=MIN_CHARS, least_chars=1) -> DataFrame:
     """``(doc, gone)``: the positions of the lines that an equal line or one within an edit comes before, by (id, position).
 
     Rows that share an id count as one document: a line's place is its id and position.
     """
-    rows = line_rows(docs, id_col, text_col, min_chars)
+    rows = line_rows(docs, id_col, text_col, least_chars)
     firsts = rows.groupBy("h", "g").agg(F.min(F.struct("doc", "pos")).alias("first"), F.max(F.struct("doc", "pos")).alias("last"))
-    near = settle(near_lines(rows), "line-near").withColumn("near", F.lit(True))
+    near = settle(near_lines(rows.where(F.length("line") >= min_chars)), "line-near").withColumn("near", F.lit(True))
     again = firsts.join(near, ["h", "g"], "left").where("near OR first < last").select("h", "g", "first", F.coalesce("near", F.lit(False)).alias("near"))
     again = settle(again, "line-again")
     places = rows.select("doc", "pos", "h", "g").join(small_side(again), ["h", "g"]).where("near OR doc <> first.doc OR pos <> first.pos")
     return places.groupBy("doc").agg(F.collect_set("pos").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, id_col="doc_id", text_col="text", min_chars=MIN_CHARS, count_col="lines_removed") -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col="doc_id", text_col="text", min_chars=MIN_CHARS, count_col="lines_removed", least_chars=1) -> DataFrame:
     """All columns of ``docs``, the text without its duplicate lines, and how many lines went.
 
     A line goes if an equal line, or one that a single inserted, deleted or replaced character makes equal, occurs earlier in
-    the order of id and position; outer white space does not count, and lines of fewer than ``min_chars`` characters stay.
+    the order of id and position; outer white space does not count. Lines of fewer than ``min_chars`` characters go only if they
+    are equal to an earlier one; blank lines and those of fewer than ``least_chars`` stay.
     What stays is unchanged. Rows with a null id or text are unchanged; an empty table gives no rows. A column that has the name
     of the count is replaced.
     """
-    gone = removed_lines(docs, id_col, text_col, min_chars).select(F.col("doc").alias("_line_doc"), F.col("gone").alias("_line_gone"))
+    gone = removed_lines(docs, id_col, text_col, min_chars, least_chars).select(F.col("doc").alias("_line_doc"), F.col("gone").alias("_line_gone"))
     joined = docs.drop(count_col).join(gone, F.col(id_col) == F.col("_line_doc"), "left").drop("_line_doc")
     parts = F.split(F.col(text_col), "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_line_gone"))

@@ -46,15 +46,24 @@ def op9_cover_tree_dedup(spark, sf_dir):
     return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-def op10_line_dedup(spark, sf_dir):
-    docs = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+def _line_digest(docs):
     n = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long")
     return docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), F.length("text").cast("long").alias("n_chars"), n.alias("n_lines"), "lines_removed")
 
 
+def op10_line_dedup(spark, sf_dir):
+    """Lines as its SQL takes them: those of fewer than ``MIN_CHARS`` characters stay."""
+    return _line_digest(lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least_chars=lines.MIN_CHARS))
+
+
+def op10_line_dedup_all_lines(spark, sf_dir):
+    """Every line that is not blank, as the pipeline does it."""
+    return _line_digest(lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_cube_mix, op3_dart_minhash, op4_page_text, op5_secret_ledger, op6_language_id, op7_hamming_top_k,
-    op8_best_fit_packing, op9_cover_tree_dedup, op10_line_dedup,
+    op8_best_fit_packing, op9_cover_tree_dedup, op10_line_dedup, op10_line_dedup_all_lines,
 )}
 
 
@@ -67,6 +76,37 @@ def _spans(place: int, pattern: str, group: int, least: int) -> str:
                 unnest(regexp_split_to_array(x, {p})[:len(regexp_extract_all(x, {p}, 0))]) AS gap, unnest(range(len(regexp_extract_all(x, {p}, 0)))) AS i)))"""
 
 
+def _line_dedup(least: int, near: str = "") -> str:
+    """SQL of the line dedup over lines of ``least`` characters; ``near`` bounds those that one edit makes equal."""
+    return f"""
+        WITH parts AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+            FROM documents WHERE doc_id IS NOT NULL
+        ), rows AS (
+            SELECT doc_id, pos, raw, trim(raw, {_BLANK}) AS line FROM parts
+        ), firsts AS (
+            SELECT line, length(line) AS n, min((doc_id, pos)) AS first FROM rows WHERE length(line) >= {least} GROUP BY line
+        ), halves AS (
+            SELECT line, n, first, unnest([(0, n, left(line, n // 2)), (1, n, right(line, n // 2)), (0, n - 1, left(line, (n - 1) // 2)), (1, n - 1, right(line, (n - 1) // 2))]) AS half
+            FROM firsts{near}
+        ), pairs AS (
+            SELECT DISTINCT a.line AS late, b.line AS early, a.n AS n, b.n AS m FROM halves a JOIN halves b ON a.half = b.half AND b.first < a.first AND abs(a.n - b.n) <= 1
+        ), parted AS (
+            SELECT *, coalesce(list_position(list_transform(list_zip(string_split(late, ''), string_split(early, '')), lambda z: coalesce(z[1] <> z[2], true)), true), 1 + greatest(n, m)) AS i FROM pairs
+        ), near AS (
+            SELECT DISTINCT late FROM parted WHERE substr(late, i + CASE WHEN n >= m THEN 1 ELSE 0 END) = substr(early, i + CASE WHEN m >= n THEN 1 ELSE 0 END)
+        ), marked AS (
+            SELECT r.doc_id, r.pos, r.raw, f.line IS NOT NULL AND (e.late IS NOT NULL OR f.first <> (r.doc_id, r.pos)) AS gone
+            FROM rows r LEFT JOIN firsts f ON r.line = f.line LEFT JOIN near e ON r.line = e.late
+        ), kept AS (
+            SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text, count(*) FILTER (WHERE gone) AS n FROM marked GROUP BY doc_id
+        ), cut AS (
+            SELECT d.doc_id, coalesce(k.text, d.text) AS text, coalesce(k.n, 0) AS n FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+        )
+        SELECT doc_id, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n_chars, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines, CAST(n AS BIGINT) AS lines_removed
+        FROM cut"""
+
+
 _NAMES = "[" + ", ".join(f"'{kind}'" for kind in secret_scan.RULES) + "]"
 _LISTED = f"coalesce(array_to_string(list_transform({{}}, lambda v: {_NAMES}[v.k + 1] || ':' || v.s || ':' || v.e), ','), '')"
 _PLACES = {kind: k for k, kind in enumerate(secret_scan.RULES)}
@@ -97,33 +137,8 @@ ORACLE: dict[str, str] = {
             sha256({_LISTED.format(f"list_filter(spans, lambda v: v.k IN ({', '.join(str(_PLACES[kind]) for kind in secret_scan.BASE)}))")}) AS base_sha256,
             {_LISTED.format("spans")} AS spans
         FROM found""",
-    "op10_line_dedup": f"""
-        WITH parts AS (
-            SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos
-            FROM documents WHERE doc_id IS NOT NULL
-        ), rows AS (
-            SELECT doc_id, pos, raw, trim(raw, {_BLANK}) AS line FROM parts
-        ), firsts AS (
-            SELECT line, length(line) AS n, min((doc_id, pos)) AS first FROM rows WHERE length(line) >= {lines.MIN_CHARS} GROUP BY line
-        ), halves AS (
-            SELECT line, n, first, unnest([(0, n, left(line, n // 2)), (1, n, right(line, n // 2)), (0, n - 1, left(line, (n - 1) // 2)), (1, n - 1, right(line, (n - 1) // 2))]) AS half
-            FROM firsts
-        ), pairs AS (
-            SELECT DISTINCT a.line AS late, b.line AS early, a.n AS n, b.n AS m FROM halves a JOIN halves b ON a.half = b.half AND b.first < a.first AND abs(a.n - b.n) <= 1
-        ), parted AS (
-            SELECT *, coalesce(list_position(list_transform(list_zip(string_split(late, ''), string_split(early, '')), lambda z: coalesce(z[1] <> z[2], true)), true), 1 + greatest(n, m)) AS i FROM pairs
-        ), near AS (
-            SELECT DISTINCT late FROM parted WHERE substr(late, i + CASE WHEN n >= m THEN 1 ELSE 0 END) = substr(early, i + CASE WHEN m >= n THEN 1 ELSE 0 END)
-        ), marked AS (
-            SELECT r.doc_id, r.pos, r.raw, f.line IS NOT NULL AND (e.late IS NOT NULL OR f.first <> (r.doc_id, r.pos)) AS gone
-            FROM rows r LEFT JOIN firsts f ON r.line = f.line LEFT JOIN near e ON r.line = e.late
-        ), kept AS (
-            SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text, count(*) FILTER (WHERE gone) AS n FROM marked GROUP BY doc_id
-        ), cut AS (
-            SELECT d.doc_id, coalesce(k.text, d.text) AS text, coalesce(k.n, 0) AS n FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
-        )
-        SELECT doc_id, md5(text) AS text_md5, CAST(length(text) AS BIGINT) AS n_chars, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines, CAST(n AS BIGINT) AS lines_removed
-        FROM cut""",
+    "op10_line_dedup": _line_dedup(lines.MIN_CHARS),
+    "op10_line_dedup_all_lines": _line_dedup(1, " WHERE n >= 16"),
     "op9_cover_tree_dedup": f"""
         WITH RECURSIVE live AS (
             SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings

@@ -1,5 +1,6 @@
 """The operators on small tables with nulls, empty texts, repeated rows, ties and no rows at all."""
 
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +83,14 @@ def test_empty_tables(docs):
     for made in (lines.dedup_lines(none), minhash.near_duplicates(none), mixing.mix(none), packing.pack(none), language.identify(none), secret_scan.scan(none)):
         assert made.count() == 0
     assert pages.extract(none.select(F.col("doc_id").alias("page_id"), F.col("lang").alias("url"), F.col("text").alias("html"))).count() == 0
+
+
+def test_short_lines_that_repeat_go(spark):
+    """Equal lines of any length go, in the stage too; one edit makes only longer ones equal."""
+    importable(spark)
+    texts = [(1, "And ornd.\n1.\n\nStteen Erachtz.\nStteen Erachtz."), (2, " And ornd.\n2.\n\nStteen Erachtx."), (3, "1.\n And ornd."), (4, "fresh")]
+    docs = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    want = {1: ("And ornd.\n1.\n\nStteen Erachtz.", 1), 2: ("2.\n\nStteen Erachtx.", 1), 3: ("", 2), 4: ("fresh", 0)}
+    assert {r["doc_id"]: (r["text"], r["lines_removed"]) for r in lines.dedup_lines(docs).collect()} == want
+    kept = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()}
+    assert kept == {k: (t, len(t)) for k, (t, _) in want.items() if t}
