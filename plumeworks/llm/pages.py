@@ -21,14 +21,16 @@ BLOCKS = frozenset((
     "html body main article section div p pre blockquote ul ol li dl dt dd table thead tbody tfoot tr caption h1 h2 h3 h4 h5 h6 "
     "figure figcaption address details summary fieldset header footer nav aside form center hgroup search"
 ).split())
-DROPPED = frozenset("head nav footer aside form button select option input dialog menu svg canvas object audio video map datalist search".split()) | RAW
-DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
+DROPPED = frozenset("head nav footer aside button select option input dialog menu svg canvas object audio video map datalist search".split()) | RAW
+DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar".split())
 DROPPED_NAMES = frozenset((
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal "
     "overlay newsletter subscribe subscription signup login sidebar widget widgets nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead "
     "comment comments commentlist disqus respond replies reply share sharing social related recommended recommendations pagination pager toolbar skip"
 ).split())
 HEADER_NAMES = frozenset("header topbar".split())
+#: Those of the names that also stand on wrappers of whole pages.
+LAYOUT_NAMES = frozenset("sidebar widget widgets menu menus navbar toolbar overlay modal popup social share sharing notice notices skip login subscription".split()) | HEADER_NAMES
 GOOD_NAMES = frozenset("article content main post entry body text story page hentry".split())
 KEPT_WHOLE = frozenset("html body article main".split())
 #: Elements that end an open paragraph, and siblings that end each other.
@@ -38,33 +40,63 @@ _BOUNDS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "
 
 #: Shortest paragraph that scores.
 PARAGRAPH = 25
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Doubts about an element that only its text can settle: a word of furniture in a longer name, a name of furniture alone, a form.
+PARTLY, WHOLLY, FORM = 1, 2, 3
+#: What the score of an element counts for in and below such a name.
+_WEIGHTS = {PARTLY: 0.5, WHOLLY: 0.1}
 
 
 class Node:
-    __slots__ = ("tag", "names", "parent", "start", "end", "drop", "block", "own", "commas", "linked", "score", "size", "links")
+    __slots__ = ("tag", "names", "parent", "start", "end", "drop", "block", "own", "commas", "linked", "score", "size", "links", "doubt", "paragraphs", "weight")
 
-    def __init__(self, tag, names, parent, start, drop):
-        self.tag, self.names, self.parent, self.start, self.end, self.drop = tag, names, parent, start, start, drop
+    def __init__(self, tag, names, parent, start, drop, doubt=0):
+        self.tag, self.names, self.parent, self.start, self.end, self.drop, self.doubt = tag, names, parent, start, start, drop, doubt
         self.block = self if tag in BLOCKS or tag == "" else parent.block
-        self.own = self.commas = self.linked = self.size = self.links = 0
+        self.weight = 1.0
+        self.clear()
+
+    def clear(self):
+        self.own = self.commas = self.linked = self.size = self.links = self.paragraphs = 0
         self.score = 0.0
 
+    def above(self):
+        """The element and all around it."""
+        node = self
+        while node is not None:
+            yield node
+            node = node.parent
+
+
+def _doubt(words, furniture) -> int:
+    """What class and id words say; a word is a whole name if all its parts, numbers aside, are names of furniture."""
+    parts = [[t for t in _TOKENS.findall(w) if not t.isdigit()] for w in words]
+    if any(found and furniture.issuperset(found) for found in parts):
+        return PARTLY if any(GOOD_NAMES.issuperset(found) for found in parts if found) else WHOLLY
+    return PARTLY if any(furniture.intersection(found) for found in parts) else 0
+
 
-def _furniture(tag, attrs, parent) -> tuple[frozenset, bool]:
-    """The names of an element and whether it is page furniture or hidden."""
+def _furniture(tag, attrs, parent) -> tuple[frozenset, bool, int]:
+    """The names of an element, whether it is page furniture or hidden whatever it holds, and the doubt about it otherwise."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if attrs.strip() else {}
     names = frozenset(_TOKENS.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    if tag in DROPPED or found.get("role", "").lower() in DROPPED_ROLES:
-        return names, True
+    role = found.get("role", "").lower()
+    if tag in DROPPED or role in DROPPED_ROLES:
+        return names, True, 0
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower():
-        return names, True
+        return names, True, 0
     if (tag in ("article", "main") and not names & {"comment", "comments", "reply"}) or tag in ("html", "body"):
-        return names, False
+        return names, False, 0
     inside = parent
     while inside is not None and inside.tag not in ("article", "main"):
         inside = inside.parent
-    head = tag == "header" or bool(names & HEADER_NAMES)
-    return names, bool(names & DROPPED_NAMES) or head and inside is None
+    words = found.get("class", "").lower().split()
+    if tag not in HEADINGS:
+        words += found.get("id", "").lower().split()
+    doubt = _doubt(words, DROPPED_NAMES if inside is not None else DROPPED_NAMES | HEADER_NAMES)
+    if tag == "header" and inside is None:
+        doubt = WHOLLY
+    return names, False, doubt or (FORM if tag == "form" or role == "form" else 0)
 
 
 def parse(page: str) -> tuple[list, list[Node]]:
@@ -114,8 +146,8 @@ def parse(page: str) -> tuple[list, list[Node]]:
             close(node)
         if tag in VOID:
             continue
-        names, drop = _furniture(tag, attrs, here)
-        node = Node(tag, names, here, len(events), drop or here.drop)
+        names, drop, doubt = _furniture(tag, attrs, here)
+        node = Node(tag, names, here, len(events), drop or here.drop, doubt)
         nodes.append(node)
         events.append((node, None))
         here = node
@@ -158,6 +190,50 @@ def score(events, nodes) -> None:
             while to is not None:
                 to.score += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
                 level, to = level + 1, to.parent.block if to.parent else None
+            node.paragraphs += 1
+        if up is not None:
+            up.paragraphs += node.paragraphs
+
+
+def _leading(nodes) -> Node | None:
+    """The article or main element that holds most text, or the one in it that holds at least half of that."""
+    found = [n for n in nodes if n.tag in ("article", "main") and not n.drop and not n.doubt and n.size]
+    lead = max(found, key=lambda n: n.size, default=None)
+    while lead is not None:
+        inner = max((n for n in found if n is not lead and lead in n.above()), key=lambda n: n.size, default=None)
+        if inner is None or 2 * inner.size < lead.size:
+            break
+        lead = inner
+    return lead
+
+
+def _plain(nodes, best) -> int:
+    """Characters outside a container that no name casts doubt on."""
+    return sum(n.own for n in nodes if n.block is n and not n.drop and n.weight == 1 and best not in n.above())
+
+
+def settle_doubts(events, nodes) -> None:
+    """Drops the doubtful elements that their text does not clear, from scored nodes, and scores the rest anew.
+
+    What is around the leading article or the best container stays; a layout name around most of the page does not count. A name of furniture alone drops an element, a word in a
+    longer name only one whose text is mostly links, and a form goes if it holds no paragraph that scores.
+    """
+    if not any(n.doubt and not n.drop for n in nodes):
+        return
+    lead = _leading(nodes)
+    around = set(lead.above()) if lead else set()
+    for n in nodes[1:]:
+        n.weight = n.parent.weight * (1 if n in around or n.names & LAYOUT_NAMES and 4 * n.size > 3 * nodes[0].size else _WEIGHTS.get(n.doubt, 1))
+    best = max((n for n in nodes if n.block is n and not n.drop and n.paragraphs), key=_weighed, default=None)
+    if best is not None and (best.weight == 1 or best.size * best.weight >= _plain(nodes, best)):
+        around = set(best.above()) | (around if best in around else set())
+    for n in nodes[1:]:
+        linked = n.block is n and 2 * n.links > n.size
+        gone = n.doubt == WHOLLY or n.doubt == PARTLY and linked or n.doubt == FORM and (linked or not n.paragraphs)
+        n.drop = n.drop or n.parent.drop or gone and n not in around
+    for n in nodes:
+        n.clear()
+    score(events, nodes)
 
 
 def _weighed(node) -> float:
@@ -165,7 +241,7 @@ def _weighed(node) -> float:
     if value:
         value += 25 * bool(node.names & GOOD_NAMES) + {"article": 20, "main": 10, "div": 5, "blockquote": 3, "pre": 3}.get(node.tag, 0)
         value -= 5 * (node.tag in ("ul", "ol", "li", "dl", "dd", "dt", "th", "h1", "h2", "h3", "h4", "h5", "h6"))
-    return value * (1 - node.links / node.size) if node.size else 0.0
+    return value * node.weight * (1 - node.links / node.size) if node.size else 0.0
 
 
 def main_parts(events, nodes) -> list[Node]:
@@ -209,7 +285,21 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     events, nodes = parse(page)
+    hidden = [n.drop for n in nodes]
     score(events, nodes)
+    settle_doubts(events, nodes)
+    text = _joined(events, nodes)
+    if not text and [n.drop for n in nodes] != hidden:
+        for n, drop in zip(nodes, hidden):
+            n.drop = drop
+            n.clear()
+        score(events, nodes)
+        text = _joined(events, nodes)
+    return text
+
+
+def _joined(events, nodes) -> str:
+    """The text of the main parts."""
     blocks: list[str] = []
     run: list[str] = []
 

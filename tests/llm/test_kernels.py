@@ -98,3 +98,34 @@ def test_page_text():
     assert pages.main_text(page) == "T & U\n\nOne, two, three words and some more text.\n\nBold line\n\nShort."
     assert pages.main_text(None) == pages.main_text("") == pages.main_text("<p>") == ""
     assert pages.main_text("plain  text &lt;") == "plain text <"
+
+
+PARAGRAPHS = [f"Paragraph {k} of the article, long enough to score, says something of its own." for k in range(4)]
+BODY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="content has-sidebar"><article>{BODY}</article><div class="sidebar"><p>Other news, all of it read by many people.</p></div></div>',
+    f'<div class="sidebar"><article>{BODY}</article></div>',
+    f'<div class="post comments-open">{BODY}</div><div id="comments"><p>I, too, think that this is a very fine article.</p></div>',
+    f'<form action="/x"><input name="q"><div id="main">{BODY}</div><button>Go</button></form>',
+    f'<div class="menu-left"><main>{BODY}<form><label>Your name</label></form></main></div>',
+    f'<div class="social"><div class="text">{BODY}</div></div><div class="x"><p>One line of small print at the end.</p></div>',
+    f'<div class="content">{BODY}</div><div class="related-posts"><a href="/1">Another article that is well worth reading</a></div>',
+    f'<article>{BODY}<section id="comments"><article><p>I, too, think that this is a very fine article.</p></article></section></article>',
+    f'<main><div class="content">{BODY}</div><section id="comments"><article><p>I, too, like this article.</p></article></section></main>',
+])
+def test_page_text_in_wrappers_named_like_furniture(page):
+    assert pages.main_text(f"<html><body>{page}</body></html>") == "\n\n".join(PARAGRAPHS)
+
+
+def test_page_text_keeps_sections_named_with_words_of_furniture():
+    page = f'<article>{BODY}<h2 id="related-work">Related work</h2><p>Some.</p><h2 id="related">Related</h2><section id="social-impact"><p>It matters.</p></section></article>'
+    assert pages.main_text(page) == "\n\n".join([*PARAGRAPHS, "Related work", "Some.", "Related", "It matters."])
+    assert pages.main_text('<div class="notice">Closed today.</div>') == "Closed today."
+
+
+def test_page_text_leaves_furniture_out_of_pages_without_paragraphs():
+    for kind in ("article", "div"):
+        page = f'<body><div class="ad">Buy this, it is cheaper than all the others.</div><{kind}><h1>Short one</h1><p>Few words.</p></{kind}></body>'
+        assert pages.main_text(page) == "Short one\n\nFew words."
