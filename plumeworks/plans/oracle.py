@@ -244,6 +244,12 @@ CTES = {
     SELECT aqsid, 48, county_code, site_number, site_name, county_name, 'TCEQ', pollutants, 0, NULL, NULL, 0, data_status, '', notes
     FROM (VALUES {_static_rows()}) v(aqsid, county_code, site_number, site_name, county_name, pollutants, data_status, notes)
     WHERE data_status <> 'excluded' OR aqsid NOT IN (SELECT aqsid FROM active)) s LEFT JOIN coords c USING (aqsid)""",
+    "series_all": """
+  SELECT pollutant_group, aqsid, datetime, avg(sample_measurement) AS value FROM hourly
+  WHERE pollutant_group <> 'NOx_Family' OR parameter_code = 42602 GROUP BY 1, 2, 3""",
+    "rolled_all": """
+  SELECT *, CASE WHEN count(value) OVER w >= 6 THEN avg(value) OVER w END AS mean_8h FROM series_all
+  WINDOW w AS (PARTITION BY pollutant_group, aqsid ORDER BY datetime ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)""",
 }
 
 

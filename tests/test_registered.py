@@ -60,3 +60,11 @@ def test_entry_runs(spark):
 def test_plans_have_no_pairwise_joins_or_python(spark, name):
     plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("CartesianProduct|NestedLoop|PythonUDF|ArrowEval|BatchEval", plan)
+
+
+def test_series_of_all_groups_hold_vocs(spark, db):
+    name = "A1_site_series_all_groups"
+    found = QUERIES[name](spark, FOLDER)
+    assert found.where("pollutant_group = 'VOCs'").count() > 0
+    rel = db.execute(ORACLE[name])
+    assert rows(found.columns, [tuple(r) for r in found.collect()]) == rows([c[0] for c in rel.description], rel.fetchall())
