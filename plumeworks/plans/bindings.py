@@ -2,7 +2,8 @@
 
 ``lineitem`` and ``events`` together become raw measurements (seven years of sparse sites plus
 one dense month), ``orders`` and ``events`` the weather master, ``supplier`` two overlapping
-coordinate files. Only columns are derived: every row of every table takes part.
+coordinate files. Only columns are derived and every row takes part, but for the suppliers: the overlapping
+coordinate files hold those of some balances (:func:`site_coordinate_sources`).
 """
 
 from pyspark.sql import functions as F
@@ -177,16 +178,16 @@ def raw_weather(spark, sf_dir):
     )
 
 
-def site_coordinate_sources(spark, sf_dir):
-    """A verified and a second coordinate list; they overlap and neither is complete."""
+def site_coordinate_sources(spark, sf_dir, complete=False):
+    """A verified and a second coordinate list; they overlap and neither is complete, unless all suppliers are asked for."""
     s = table(spark, sf_dir, "supplier")
     key, balance = F.col("s_suppkey"), F.col("s_acctbal")
     lat = (key * 37 % 500) / 100.0 + 25.013
     lon = (key * 91 % 400) / 100.0 - 100.017
-    first = s.where(balance >= 6000.0).select(
+    first = (s if complete else s.where(balance >= 6000.0)).select(
         site_key(key).alias("aqsid"), lat.alias("lat"), lon.alias("lon")
     )
-    second = s.where(balance.between(0.0, 7000.0)).select(
+    second = (s if complete else s.where(balance.between(0.0, 7000.0))).select(
         site_key(key).alias("aqsid"),
         (lat + 0.5).alias("lat"),
         F.when(F.col("s_nationkey") != 3, lon + 0.5).alias("lon"),

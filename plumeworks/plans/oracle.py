@@ -250,6 +250,13 @@ CTES = {
     "rolled_all": """
   SELECT *, CASE WHEN count(value) OVER w >= 6 THEN avg(value) OVER w END AS mean_8h FROM series_all
   WINDOW w AS (PARTITION BY pollutant_group, aqsid ORDER BY datetime ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)""",
+    "coords_1_all": f"""
+  SELECT {site('s_suppkey')} AS aqsid, (s_suppkey * 37 % 500) / 100.0 + CAST(25.013 AS DOUBLE) AS lat,
+         (s_suppkey * 91 % 400) / 100.0 - CAST(100.017 AS DOUBLE) AS lon FROM supplier""",
+    "coords_2_all": f"""
+  SELECT {site('s_suppkey')} AS aqsid, (s_suppkey * 37 % 500) / 100.0 + CAST(25.013 AS DOUBLE) + 0.5 AS lat,
+         CASE WHEN s_nationkey <> 3 THEN (s_suppkey * 91 % 400) / 100.0 - CAST(100.017 AS DOUBLE) + 0.5 END AS lon
+  FROM supplier""",
 }
 
 

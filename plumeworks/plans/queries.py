@@ -139,15 +139,31 @@ def _(t):
 
 @query("S5_site_reference_csv", "SELECT aqsid, lat, lon FROM coords_1", "lat lon")
 def _(t):
-    first = t.coordinate_sources()[0]
+    return _reference_csv(t, t.coordinate_sources()[0])
+
+
+@query("S5_site_reference_csv_all_sites", "SELECT aqsid, lat, lon FROM coords_1_all", "lat lon")
+def _(t):
+    return _reference_csv(t, t.coordinate_sources(complete=True)[0])
+
+
+def _reference_csv(t, first):
     path = writers.write_csv(first.toDF("aqsid", "latitude", "longitude"), folder(t, "s5"))
     return readers.site_reference(t.spark, path)
 
 
 @query("S6_second_coordinate_source", "SELECT aqsid, lat, lon FROM coords_2", "lat lon")
 def _(t):
-    second = t.coordinate_sources()[1].toDF("AQS Site ID", "Latitude", "Longitude")
-    path = writers.write_table(second, folder(t, "s6"))
+    return _second_source(t, t.coordinate_sources()[1])
+
+
+@query("S6_second_coordinate_source_all_sites", "SELECT aqsid, lat, lon FROM coords_2_all", "lat lon")
+def _(t):
+    return _second_source(t, t.coordinate_sources(complete=True)[1])
+
+
+def _second_source(t, second):
+    path = writers.write_table(second.toDF("AQS Site ID", "Latitude", "Longitude"), folder(t, "s6"))
     return readers.coordinates(t.spark.read.parquet(path), "AQS Site ID", "Latitude", "Longitude")
 
 
@@ -238,7 +254,19 @@ def _(t):
     "lat lon",
 )
 def _(t):
-    coords = t.coordinate_sources()[0]
+    return _dispatched(t, t.coordinate_sources()[0])
+
+
+@query(
+    "S9_source_dispatch_all_sites",
+    """SELECT source, aqsid, lat, lon FROM coords_1_all CROSS JOIN (VALUES ('csv'), ('parquet'), ('parquet_dir')) v(source)""",
+    "lat lon",
+)
+def _(t):
+    return _dispatched(t, t.coordinate_sources(complete=True)[0])
+
+
+def _dispatched(t, coords):
     paths = {k: folder(t, f"s9-{k}") for k in ("csv", "parquet", "parquet_dir")}
     writers.write_csv(coords, paths["csv"])
     writers.write_table(coords, paths["parquet"])
@@ -794,6 +822,15 @@ def _(t):
     return first.withColumn("origin", F.lit("first")).unionByName(second, allowMissingColumns=True)
 
 
+@query(
+    "U1_union_by_name_all_sites",
+    "SELECT aqsid, lat, lon, 'first' AS origin FROM coords_1_all UNION ALL SELECT aqsid, lat, lon, NULL FROM coords_2_all", "lat lon",
+)
+def _(t):
+    first, second = t.coordinate_sources(complete=True)
+    return first.withColumn("origin", F.lit("first")).unionByName(second, allowMissingColumns=True)
+
+
 @query("U2_distinct", "SELECT DISTINCT aqsid, county_name, pollutant_group, data_source FROM hourly")
 def _(t):
     return t.get("hourly").select("aqsid", "county_name", "pollutant_group", "data_source").distinct()

@@ -41,8 +41,8 @@ class Tables:
     def raw_weather(self):
         return bindings.raw_weather(self.spark, self.sf_dir)
 
-    def coordinate_sources(self):
-        return bindings.site_coordinate_sources(self.spark, self.sf_dir)
+    def coordinate_sources(self, complete=False):
+        return bindings.site_coordinate_sources(self.spark, self.sf_dir, complete)
 
     def get(self, name):
         path = f"{self.root}/{name}"
