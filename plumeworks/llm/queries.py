@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from plumeworks.llm import cover_tree, hamming, language, lines, minhash, mixing, packing, pages, secret_scan, token_files
+from plumeworks.llm import cover_tree, hamming, language, lines, manifest, minhash, mixing, packing, pages, resample, secret_scan, token_files
 from plumeworks.llm.common import table
 from plumeworks.session import work_folder
 
@@ -61,9 +61,21 @@ def op10_line_dedup_all_lines(spark, sf_dir):
     return _line_digest(lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_bit_sliced_resample(spark, sf_dir):
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    """The manifest of the documents; in every second one, by the crc32 of its id, the line breaks of the text are tampered with."""
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    changed = F.when(chosen, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return manifest.manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], tampered={"text": changed})
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_cube_mix, op3_dart_minhash, op4_page_text, op5_secret_ledger, op6_language_id, op7_hamming_top_k,
     op8_best_fit_packing, op9_cover_tree_dedup, op10_line_dedup, op10_line_dedup_all_lines,
+    op11_bit_sliced_resample, op13_merkle_manifest,
 )}
 
 
@@ -107,6 +119,23 @@ def _line_dedup(least: int, near: str = "") -> str:
         FROM cut"""
 
 
+#: SQL table ``tab``: the 256 entries of the crc32 table, from its polynomial.
+_CRC_TABLE = """tab AS (
+            SELECT list(v ORDER BY i) AS t FROM (
+                SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of a text, next to ``tab``."""
+    data = f"list_transform(range(0, octet_length(encode({text}))), lambda k: CAST('0x' || hex(encode({text}))[2 * k + 1 : 2 * k + 2] AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return f"sha256(concat({', '.join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values)}))"
+
+
 _NAMES = "[" + ", ".join(f"'{kind}'" for kind in secret_scan.RULES) + "]"
 _LISTED = f"coalesce(array_to_string(list_transform({{}}, lambda v: {_NAMES}[v.k + 1] || ':' || v.s || ':' || v.e), ','), '')"
 _PLACES = {kind: k for k, kind in enumerate(secret_scan.RULES)}
@@ -139,6 +168,72 @@ ORACLE: dict[str, str] = {
         FROM found""",
     "op10_line_dedup": _line_dedup(lines.MIN_CHARS),
     "op10_line_dedup_all_lines": _line_dedup(1, " WHERE n >= 16"),
+    "op11_bit_sliced_resample": rf"""
+        WITH {_CRC_TABLE}, docs AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+        ), aims AS (
+            SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+        ), uses AS (
+            SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(words) AS w FROM docs) GROUP BY ALL
+        ), names AS (
+            SELECT w, {_crc32("w")} % {resample.BUCKETS} AS bucket FROM tab, (SELECT w FROM uses UNION SELECT w FROM aims)
+        ), raw AS (
+            SELECT bucket, sum(n) AS s FROM uses JOIN names USING (w) GROUP BY bucket
+        ), aimed AS (
+            SELECT bucket, count(*) AS t FROM aims JOIN names USING (w) GROUP BY bucket
+        ), sums AS (
+            SELECT CAST(coalesce((SELECT sum(s) FROM raw), 0) AS DOUBLE) AS ss, CAST(coalesce((SELECT sum(t) FROM aimed), 0) AS DOUBLE) AS ts
+        ), gains AS (
+            SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (ss + {resample.BUCKETS}) / ((coalesce(s, 0) + 1.0::DOUBLE) * (ts + {resample.BUCKETS})))) AS BIGINT) AS gain
+            FROM sums, raw FULL JOIN aimed USING (bucket)
+        ), weights AS (
+            SELECT doc_id, CAST(sum(n) AS BIGINT) AS n, CAST(sum(n * gain) AS BIGINT) AS total FROM uses JOIN names USING (w) JOIN gains USING (bucket) GROUP BY doc_id
+        ), weighed AS (
+            SELECT doc_id, coalesce(n, 0) AS n_features, CASE WHEN n > 0 THEN (total - ((total % n) + n) % n) // n ELSE 0 END AS weight,
+                CAST('0x' || left(sha256('{resample.SEED}:' || doc_id), 8) AS BIGINT) AS h
+            FROM docs LEFT JOIN weights USING (doc_id)
+        ), scored AS (
+            SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM weighed
+        ), ranked AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= {resample.LEAST_WORDS}
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {resample.PERCENT} * n // 100 THEN rank END AS rank FROM scored LEFT JOIN ranked USING (doc_id)""",
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE {_CRC_TABLE}, docs AS (
+            SELECT doc_id, coalesce('1' || source, '0') AS g, {_leaf("text")} AS leaf,
+                CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS tampered
+            FROM documents, tab
+        ), rows AS (
+            SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS r, count(*) OVER (PARTITION BY g) AS n FROM docs
+        ), nodes AS (
+            SELECT 0 AS level, g, r, n, leaf AS h FROM rows
+            UNION ALL
+            SELECT level + 1, g, r // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY r)) FROM nodes WHERE n > 1 GROUP BY level, g, r // 3, n
+        ), subroots AS (
+            SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS r, count(*) OVER () AS n FROM nodes WHERE n = 1
+        ), tops AS (
+            SELECT 0 AS level, r, n, h FROM subroots
+            UNION ALL
+            SELECT level + 1, r // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY r)) FROM tops WHERE n > 1 GROUP BY level, r // 3, n
+        ), levels AS (
+            SELECT level, g, r, n, h FROM nodes UNION ALL SELECT 1000 + level, NULL, r, n, h FROM tops
+        ), sides AS (
+            SELECT a.level, a.g, a.r, coalesce(string_agg(b.h, '' ORDER BY b.r) FILTER (WHERE b.r < a.r), '') AS before, coalesce(string_agg(b.h, '' ORDER BY b.r) FILTER (WHERE b.r > a.r), '') AS behind
+            FROM levels a JOIN levels b ON a.level = b.level AND a.g IS NOT DISTINCT FROM b.g AND a.r // 3 = b.r // 3 WHERE a.n > 1 GROUP BY a.level, a.g, a.r
+        ), steps AS (
+            SELECT d.g, d.r, s.level, s.before, s.behind FROM rows d JOIN sides s ON d.g = s.g AND s.r = d.r // CAST(3 ** s.level AS BIGINT)
+            UNION ALL
+            SELECT d.g, d.r, s.level, s.before, s.behind FROM rows d JOIN subroots o USING (g) JOIN sides s ON s.level >= 1000 AND s.r = o.r // CAST(3 ** (s.level - 1000) AS BIGINT)
+        ), paths AS (
+            SELECT g, r, sha256(string_agg(before || behind, '' ORDER BY level)) AS proof, list({{'before': before, 'behind': behind}} ORDER BY level) AS path FROM steps GROUP BY g, r
+        ), folds AS (
+            SELECT g, r, 1 AS k, tampered AS h, coalesce(path, []) AS path FROM rows LEFT JOIN paths USING (g, r)
+            UNION ALL
+            SELECT g, r, k + 1, sha256(path[k].before || h || path[k].behind), path FROM folds WHERE k <= len(path)
+        )
+        SELECT d.doc_id, d.leaf, s.h AS subroot, t.h AS root, coalesce(p.proof, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+        FROM rows d JOIN subroots s USING (g) JOIN (SELECT h FROM tops WHERE n = 1) t ON true
+        JOIN (SELECT * FROM folds WHERE k > len(path)) f ON f.g = d.g AND f.r = d.r LEFT JOIN paths p ON p.g = d.g AND p.r = d.r""",
     "op9_cover_tree_dedup": f"""
         WITH RECURSIVE live AS (
             SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
