@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from plumeworks.llm import cover_tree, hamming, language, lines, manifest, minhash, mixing, packing, pages, resample, secret_scan, token_files
+from plumeworks.llm import cover_tree, hamming, language, lines, lm, manifest, minhash, mixing, packing, pages, resample, secret_scan, token_files
 from plumeworks.llm.common import table
 from plumeworks.session import work_folder
 
@@ -65,6 +65,10 @@ def op11_bit_sliced_resample(spark, sf_dir):
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_context_mixing(spark, sf_dir):
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark, sf_dir):
     """The manifest of the documents; in every second one, by the crc32 of its id, the line breaks of the text are tampered with."""
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
@@ -75,7 +79,7 @@ def op13_merkle_manifest(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_cube_mix, op3_dart_minhash, op4_page_text, op5_secret_ledger, op6_language_id, op7_hamming_top_k,
     op8_best_fit_packing, op9_cover_tree_dedup, op10_line_dedup, op10_line_dedup_all_lines,
-    op11_bit_sliced_resample, op13_merkle_manifest,
+    op11_bit_sliced_resample, op12_context_mixing, op13_merkle_manifest,
 )}
 
 
