@@ -1,12 +1,16 @@
 """Nearest-station join and the county fallback, both as equi joins.
 
 Comparing every site with every station grows with the product of the two tables. The
-nearest join instead walks down a grid: stations are summarised per cell on a few levels,
-each site starts at the whole globe and keeps, level by level, only the cells that can still
-hold its nearest station. The pruning bound is a distance to a real station, so nothing that
-could win is dropped and the result equals the exhaustive comparison.
+nearest join instead walks down a tree of cells: the globe splits into cells, and a cell that
+holds more than ``LEAF`` places splits again, level by level, as deep as the crowd needs. Each
+site starts at the top and keeps, level by level, only the cells that can still hold its
+nearest station. The pruning bound is a distance to a real station, so nothing that
+could win is dropped and the result equals the exhaustive comparison. A site is compared with
+at most ``LEAF`` places of a cell it reaches, however many stations a town has.
 """
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -14,41 +18,54 @@ from plumeworks.functions.expressions import haversine_km, km_from_haversine
 from plumeworks.session import settle
 
 SPLIT = 8  # each cell splits into SPLIT x SPLIT children
-LEVELS = 4  # the finest cells are 360 / 8**4 degrees wide, about 10 km
+LEAF = 32  # places in a cell that is not split any further
+DEEPEST = 15  # cells of this level are 5e-12 degrees wide, beyond what coordinates can tell apart
 BROADCAST_LEVELS = 2  # at most SPLIT**4 = 4096 cells exist there: a fixed bound
+_EXTENT = ["south", "north", "west", "east", "member_lat", "member_lon", "leaf"]
 
 
 def _cell(level):
-    """Cell number of a coordinate on a level, computed from lat and lon."""
+    """Row and column of a coordinate's cell on a level; the parent's are those divided by ``SPLIT``."""
     n = SPLIT**level
+
     def index(degrees, span):
         step = F.floor((F.col(degrees) / span + 0.5) * n)
-        return F.least(F.greatest(step, F.lit(0)), F.lit(n - 1))
-    return (index("lat", 180.0) * n + index("lon", 360.0)).cast("long")
+        return F.least(F.greatest(step, F.lit(0)), F.lit(n - 1)).cast("long")
+
+    return index("lat", 180.0), index("lon", 360.0)
 
 
-def _occupied_cells(stations):
-    """Occupied cells of all levels: extent, parent and one real station each.
+def _at_level(places, level):
+    row, col = _cell(level)
+    return places.withColumns({"row": row, "col": col})
 
-    Built in one aggregation and settled: every level of the search reads this small table.
+
+def split_cells(places):
+    """The cells of each level, from the top, and the ``(level, row, col)`` each place ends in.
+
+    A level holds the children of the crowded cells above it: their extent, one real place,
+    and whether they are leaves. It is settled, and levels end where no cell is crowded.
     """
-    levels = F.explode(F.array(*[
-        F.struct(
-            F.lit(k).alias("level"),
-            _cell(k).alias("cell"),
-            (_cell(k - 1) if k > 1 else F.lit(0).cast("long")).alias("parent"),
-        )
-        for k in range(1, LEVELS + 1)
-    ]))
-    cells = stations.select("lat", "lon", levels.alias("at")).select("lat", "lon", "at.*")
-    return settle(
-        cells.groupBy("level", "cell", "parent").agg(
+    levels, held = [], places
+    while True:
+        level = len(levels) + 1
+        counted = _at_level(held, level).groupBy("row", "col").agg(
             F.min("lat").alias("south"), F.max("lat").alias("north"),
             F.min("lon").alias("west"), F.max("lon").alias("east"),
             F.max("lat").alias("member_lat"), F.max_by("lon", "lat").alias("member_lon"),
-        ),
-        "station-cells",
-    )
+            ((F.count("*") <= LEAF) | F.lit(level >= DEEPEST)).alias("leaf"),
+        )
+        cells = settle(counted.withColumn("level", F.lit(level)), "station-cells")
+        levels.append(cells)
+        crowded = cells.where(~F.col("leaf")).select("row", "col")
+        if crowded.isEmpty():
+            break
+        held = _at_level(places, level).join(crowded, ["row", "col"], "left_semi").select(*places.columns)
+    ends = [
+        _at_level(places, k).join(cells.where("leaf").select("level", "row", "col"), ["row", "col"])
+        for k, cells in enumerate(levels, 1)
+    ]
+    return levels, reduce(lambda a, b: a.unionByName(b), ends)
 
 
 def _least_km_to_extent():
@@ -66,16 +83,54 @@ def _least_km_to_extent():
     return km_from_haversine(term)
 
 
-def _keep_possible(pairs):
-    """Of a spot's cells, those that can hold something nearer than a station already known."""
-    measured = pairs.select(
-        "lat", "lon", F.col("cell").alias("at"),
-        _least_km_to_extent().alias("least_km"),
-        haversine_km(F.col("lat"), F.col("lon"), F.col("member_lat"), F.col("member_lon")).alias("real_km"),
-    )
+def _keep_possible(pairs, entered):
+    """Of a spot's cells, those that can hold something nearer than a station already known.
+
+    Cells just ``entered`` are measured; leaves reached on an earlier level keep their figures.
+    """
+    real = haversine_km(F.col("lat"), F.col("lon"), F.col("member_lat"), F.col("member_lon"))
+    measured = pairs.withColumns({
+        "least_km": F.when(entered, _least_km_to_extent()).otherwise(F.col("least_km")),
+        "bound": F.least("bound", F.when(entered, real)),
+    })
     slack = 1.0 + 1e-9  # keeps exact ties alive through rounding
-    bound = F.min("real_km").over(Window.partitionBy("lat", "lon")) * slack + 1e-9
-    return measured.withColumn("bound", bound).where(F.col("least_km") <= F.col("bound")).select("lat", "lon", "at")
+    bound = F.min("bound").over(Window.partitionBy("lat", "lon"))
+    kept = measured.withColumn("bound", bound).where(F.col("least_km") <= F.col("bound") * slack + 1e-9)
+    return kept.select("lat", "lon", "level", "row", "col", "leaf", "least_km", "bound")
+
+
+def candidate_pairs(sites, stations):
+    """``(lat, lon, location, slat, slon)``: every spot of a site with the places it has to be compared with.
+
+    Stations at one place are folded into the first by name, which wins any tie between them.
+    """
+    places = stations.groupBy("lat", "lon").agg(F.min("location").alias("location"))
+    levels, members = split_cells(settle(places, "station-places"))
+    # Level 1 has at most SPLIT x SPLIT cells, so every spot starts from that short list.
+    top = levels[0].agg(F.collect_list(F.struct("level", "row", "col", *_EXTENT))).scalar()
+    live = sites.select("lat", "lon").distinct().select("lat", "lon", F.inline(top))
+    nothing = F.lit(None).cast("double")
+    live = _keep_possible(live.withColumns({"least_km": nothing, "bound": nothing}), F.lit(True))
+    for above, cells in enumerate(levels[1:], 1):
+        children = cells.select(
+            F.lit(above).alias("level"), F.floor(F.col("row") / SPLIT).alias("row"), F.floor(F.col("col") / SPLIT).alias("col"),
+            F.struct("level", "row", "col", *_EXTENT).alias("child"),
+        )
+        if above < BROADCAST_LEVELS:
+            children = F.broadcast(children)  # bounded by the grid, and few keys to spread by
+        # A leaf has no children, so it stays as it is.
+        joined = live.join(children, ["level", "row", "col"], "left")
+        entered = F.col("child").isNotNull()
+        own = {c: F.coalesce(f"child.{c}", c) for c in ("level", "row", "col", "leaf")}
+        live = _keep_possible(
+            joined.select(
+                "lat", "lon", "least_km", "bound", "child", *[e.alias(c) for c, e in own.items()],
+                *[F.col(f"child.{c}") for c in _EXTENT if c != "leaf"],
+            ),
+            entered,
+        )
+    places = members.select("level", "row", "col", "location", F.col("lat").alias("slat"), F.col("lon").alias("slon"))
+    return live.join(places, ["level", "row", "col"]).select("lat", "lon", "location", "slat", "slon")
 
 
 def nearest_station(sites, stations, key="aqsid"):
@@ -84,23 +139,9 @@ def nearest_station(sites, stations, key="aqsid"):
     Sites need ``key, lat, lon`` and stations ``location, lat, lon``, all non-null. Sites at
     one spot are looked up once.
     """
-    cells = _occupied_cells(stations)
-    columns = ["cell", "south", "north", "west", "east", "member_lat", "member_lon"]
-    # Level 1 has at most SPLIT x SPLIT cells, so every spot starts from that short list.
-    top = cells.where(F.col("level") == 1).agg(F.collect_list(F.struct(*columns))).scalar()
-    spots = sites.select("lat", "lon").distinct()
-    live = _keep_possible(spots.select("lat", "lon", F.inline(top)))
-    for level in range(2, LEVELS + 1):
-        children = cells.where(F.col("level") == level).select("parent", *columns)
-        if level <= BROADCAST_LEVELS:
-            children = F.broadcast(children)  # bounded by the grid, and few keys to spread by
-        live = _keep_possible(live.join(children, F.col("at") == F.col("parent")))
-    places = stations.select(
-        "location", F.col("lat").alias("slat"), F.col("lon").alias("slon"), _cell(LEVELS).alias("cell")
-    )
     distance = haversine_km(F.col("lat"), F.col("lon"), F.col("slat"), F.col("slon"))
     best = (
-        live.join(places, live["at"] == places["cell"])
+        candidate_pairs(sites, stations)
         .select("lat", "lon", distance.alias("distance_km"), "location")
         .groupBy("lat", "lon")
         .agg(F.min(F.struct(F.round("distance_km", 9).alias("order_km"), "location", "distance_km")).alias("best"))

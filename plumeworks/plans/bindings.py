@@ -213,3 +213,23 @@ def supplier_stations(spark, sf_dir):
         ((key * 389 % 5003) / 45.0 - 55.0).alias("lat"),
         ((key * 733 % 15013) / 43.0 - 174.0).alias("lon"),
     )
+
+
+def crowded(places, key, lat_step, lon_step):
+    """The places of a table moved into one town: a square of a twentieth of a degree, some 5 km wide."""
+    return places.withColumns({
+        "lat": F.lit(29.4) + (key * lat_step % 10007) / 200140.0,
+        "lon": F.lit(-98.5) + (key * lon_step % 10009) / 200180.0,
+    })
+
+
+def crowded_sites(spark, sf_dir):
+    """All customers as sites of one town."""
+    key = F.col("c_custkey")
+    return crowded(table(spark, sf_dir, "customer"), key, 611, 907).select(F.col("c_name").alias("aqsid"), "lat", "lon")
+
+
+def crowded_stations(spark, sf_dir):
+    """All suppliers as stations of the same town."""
+    key = F.col("s_suppkey")
+    return crowded(table(spark, sf_dir, "supplier"), key, 389, 733).select(F.col("s_name").alias("location"), "lat", "lon")

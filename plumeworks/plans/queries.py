@@ -743,19 +743,30 @@ _CUSTOMER_SITES = """SELECT c_name AS aqsid, (c_custkey * 611 % 6007) / 50.0 - 6
 _SUPPLIER_STATIONS = """SELECT s_name AS location, (s_suppkey * 389 % 5003) / 45.0 - 55.0 AS slat, (s_suppkey * 733 % 15013) / 43.0 - 174.0 AS slon FROM supplier"""
 
 
-@query(
-    "J4_nearest_station",
-    f"""SELECT aqsid, lat, lon, location AS weather_station, d AS distance_km FROM (
+_CROWDED_SITES = """SELECT c_name AS aqsid, 29.4 + (c_custkey * 611 % 10007) / 200140.0 AS lat, -98.5 + (c_custkey * 907 % 10009) / 200180.0 AS lon FROM customer"""
+_CROWDED_STATIONS = """SELECT s_name AS location, 29.4 + (s_suppkey * 389 % 10007) / 200140.0 AS slat, -98.5 + (s_suppkey * 733 % 10009) / 200180.0 AS slon FROM supplier"""
+
+
+def _nearest_sql(sites, stations):
+    return f"""SELECT aqsid, lat, lon, location AS weather_station, d AS distance_km FROM (
           SELECT *, row_number() OVER (PARTITION BY aqsid ORDER BY round(d, 9), location) AS rn FROM (
-            SELECT *, {km('lat', 'lon', 'slat', 'slon')} AS d FROM ({_CUSTOMER_SITES}) CROSS JOIN ({_SUPPLIER_STATIONS}))) WHERE rn = 1""",
-    "lat lon distance_km",
-)
+            SELECT *, {km('lat', 'lon', 'slat', 'slon')} AS d FROM ({sites}) CROSS JOIN ({stations}))) WHERE rn = 1"""
+
+
+@query("J4_nearest_station", _nearest_sql(_CUSTOMER_SITES, _SUPPLIER_STATIONS), "lat lon distance_km")
 def _(t):
     return geo.nearest_station(
         bindings.customer_sites(t.spark, t.sf_dir), bindings.supplier_stations(t.spark, t.sf_dir)
     )
 
 
+@query("J4_dense_cluster", _nearest_sql(_CROWDED_SITES, _CROWDED_STATIONS), "lat lon distance_km")
+def _(t):
+    return geo.nearest_station(
+        bindings.crowded_sites(t.spark, t.sf_dir), bindings.crowded_stations(t.spark, t.sf_dir)
+    )
+
+
 @query(
     "J5_county_fallback",
     """SELECT county_name, weather_station FROM (

@@ -83,3 +83,16 @@ def test_county_fallback(spark):
     assert got == {"Bexar": "SA Bexar North", "Nueces": "Corpus (Nueces)", "": "Corpus (Nueces)"}
     plan = geo.county_fallback(wanted, posts)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_a_crowded_town_is_split_until_cells_are_small(spark):
+    """All stations within a few km: exact, and each site meets a bounded number of them."""
+    rng = random.Random(13)
+    posts = [(29.4 + rng.random() * 0.02, -98.5 + rng.random() * 0.02) for _ in range(1500)] + [(29.41, -98.49)] * 400
+    places = [(29.4 + rng.random() * 0.02, -98.5 + rng.random() * 0.02) for _ in range(300)] + [(29.41, -98.49), (-60.0, 10.0)]
+    check(spark, places, posts)
+    pairs = geo.candidate_pairs(sites(spark, places), stations(spark, posts)).groupBy("lat", "lon").count()
+    near = pairs.where("lat > 0").agg(F.max("count"), F.avg("count")).first()
+    assert near[0] <= 9 * geo.LEAF and near[1] <= 3 * geo.LEAF
+    levels, ends = geo.split_cells(stations(spark, posts).groupBy("lat", "lon").agg(F.min("location").alias("location")))
+    assert len(levels) > 4 and ends.count() == 1501 and ends.groupBy("level", "row", "col").count().agg(F.max("count")).first()[0] <= geo.LEAF
