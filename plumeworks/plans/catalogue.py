@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from plumeworks.functions.expressions import join_same, season_of, stable_round, wind_sector
-from plumeworks.operators.quantiles import exact_quantiles
+from plumeworks.operators.quantiles import exact_quantiles, moments, quantiles_of, value_counts
 from plumeworks.operators.series import rolling_mean_of_rows
 
 OZONE = "ozone_8hr_4th_max"
@@ -220,11 +220,9 @@ def parameter_profile(hourly, group, aqsid=None, top=20):
     rows = hourly.where(F.col("pollutant_group") == group)
     if aqsid:
         rows = rows.where(F.col("aqsid") == aqsid)
-    value = "sample_measurement"
-    stats = rows.groupBy("parameter_code").agg(
-        F.count("*").alias("n_obs"), F.avg(value).alias("mean"), F.max(value).alias("max")
-    )
-    p95 = exact_quantiles(rows, ["parameter_code"], value, {"p95": 0.95})
+    counted = value_counts(rows, ["parameter_code"], "sample_measurement")
+    stats = moments(counted, ["parameter_code"]).withColumnRenamed("n_rows", "n_obs")
+    p95 = quantiles_of(counted, ["parameter_code"], {"p95": 0.95})
     out = join_same(stats, p95, ["parameter_code"], "left").orderBy(F.desc("mean")).limit(top)
     return out.select(
         "parameter_code", "n_obs", *[stable_round(c, 3).alias(c) for c in ("mean", "p95", "max")]
@@ -239,10 +237,11 @@ def diurnal_profile(hourly, group, years, aqsid=None):
     )
     if aqsid:
         rows = rows.where(F.col("aqsid") == aqsid)
-    rows = rows.select(F.hour("datetime").alias("hour_of_day"), value)
-    means = rows.groupBy("hour_of_day").agg(F.avg(value).alias("mean_value"))
-    spread = exact_quantiles(rows, ["hour_of_day"], value, {"median_value": 0.5, "p95_value": 0.95})
-    return join_same(means, spread, ["hour_of_day"]).orderBy("hour_of_day")
+    keys = ["hour_of_day"]
+    counted = value_counts(rows.select(F.hour("datetime").alias("hour_of_day"), value), keys, value)
+    means = moments(counted, keys).select(*keys, F.col("mean").alias("mean_value"))
+    spread = quantiles_of(counted, keys, {"median_value": 0.5, "p95_value": 0.95})
+    return join_same(means, spread, keys).orderBy("hour_of_day")
 
 
 def station_month(weather, location, year, month):
@@ -367,13 +366,9 @@ def descriptives(hourly):
     keys, value = ["pollutant_group", "county_name", "year"], "sample_measurement"
     rows = hourly.where(F.col(value).isNotNull())
     rows = rows.withColumn("year", F.year(F.to_date("date_local"))).select(*keys, value)
-    stats = rows.groupBy(*keys).agg(
-        F.count("*").alias("n_obs"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("sd"),
-        F.max(value).alias("max"),
-    )
-    out = join_same(stats, exact_quantiles(rows, keys, value, QUANTILES), keys)
+    counted = value_counts(rows, keys, value)
+    stats = moments(counted, keys).withColumnRenamed("n_rows", "n_obs")
+    out = join_same(stats, quantiles_of(counted, keys, QUANTILES), keys)
     rounded = [stable_round(c, 4).alias(c) for c in ("mean", "sd", *QUANTILES, "max")]
     return out.select(*keys, "n_obs", *rounded).orderBy(*keys)
 
