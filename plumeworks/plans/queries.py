@@ -19,7 +19,7 @@ from plumeworks.plans import catalogue as cat
 from plumeworks.plans.oracle import km, r, site, with_ctes
 from plumeworks.plans.tables import tables, tidy
 from plumeworks.session import work_folder
-from plumeworks.sources import readers, writers
+from plumeworks.sources import keys, readers, writers
 
 QUERIES = {}
 ORACLE = {}
@@ -936,6 +936,27 @@ def _(t):
     return writers.append_delta(t.spark, _bronze(t), path).select("pollutant_group", "rows_added")
 
 
+@query(
+    "K4_repeated_batch",
+    f"""SELECT pollutant_group, count(*) AS n_rows, count(DISTINCT ({_KEYS})) AS n_keys FROM (
+          SELECT pollutant_group, {_KEYS} FROM raw WHERE data_source = 'EPA'
+          UNION ALL SELECT DISTINCT pollutant_group, {_KEYS} FROM raw WHERE data_source = 'TCEQ') WHERE pollutant_group <> 'VOCs' GROUP BY 1""",
+)
+def _(t):
+    """A batch that was cut off: half its rows are in the store, unknown to the key index. It is repeated twice."""
+    path, rows = folder(t, "k4-repeat"), _bronze(t).where(F.col("pollutant_group").isin(*C.REFRESH_GROUPS))
+    writers.write_partitioned(rows.where(F.col("data_source") == "EPA"), path, ["pollutant_group", "year"])
+    keys.refresh(t.spark, path, ["pollutant_group", *C.APPEND_KEY], ["pollutant_group", "year"])
+    late = writers.new_rows(rows, t.spark.read.parquet(path), ["pollutant_group", *C.APPEND_KEY])
+    half = late.where(F.xxhash64(*C.APPEND_KEY) % 2 == 0).select(*rows.columns)
+    half.write.mode("append").partitionBy("pollutant_group", "year").parquet(path)
+    for _ in range(2):
+        writers.append_delta(t.spark, rows, path)
+    return t.spark.read.parquet(path).groupBy("pollutant_group").agg(
+        F.count("*").alias("n_rows"), F.count_distinct(F.struct(*C.APPEND_KEY)).alias("n_keys")
+    )
+
+
 @query(
     "K5_insert_absent",
     """SELECT pollutant_group, year, count(*) AS n_rows FROM (
@@ -987,6 +1008,22 @@ def _(t):
     )
 
 
+@query(
+    "K7_versioned_publish",
+    "SELECT pollutant_group, count(*) AS n_rows, max(value) AS top FROM dv WHERE exceeds GROUP BY 1",
+    "top",
+)
+def _(t):
+    """Published whole, replaced by a part, and a further replacement that did not finish."""
+    root, values = folder(t, "k7-versions"), t.get("values")
+    writers.publish({"design_values": values}, root)
+    writers.publish({"design_values": values.where("exceeds")}, root)
+    values.limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/design_values/version-000003-unfinished")
+    return writers.published(t.spark, root, "design_values").groupBy("pollutant_group").agg(
+        F.count("*").alias("n_rows"), F.max("value").alias("top")
+    )
+
+
 @query(
     "K8_reconciliation",
     """SELECT table_name, n AS source_rows, n AS written_rows, true AS matches FROM (

@@ -1,14 +1,15 @@
 """Writers: partition overwrite, exports, incremental appends, publishing, reconciliation."""
 
 from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from plumeworks import constants as C
-from plumeworks.functions.expressions import all_of, inline_table, join_same
+from plumeworks.functions.expressions import inline_table, join_same
 from plumeworks.operators.clean import derive_time
 from plumeworks.session import settle
+from plumeworks.sources import keys
 from plumeworks.sources.readers import parquet_dataset
 
 
@@ -44,39 +45,34 @@ def write_csv(df, path):
     return path
 
 
-def new_rows(delta, existing, keys):
+def new_rows(delta, existing, key_cols):
     """Rows of ``delta`` whose key is not in ``existing``; one row per key, nulls equal.
 
     Duplicates inside the delta keep the smallest row by value, so a rerun after a
     lost executor picks the same one.
     """
-    rest = [c for c in delta.columns if c not in keys]
-    absent = join_same(delta, existing.select(*keys), keys, "left_anti")  # known keys go before anything is folded
+    rest = [c for c in delta.columns if c not in key_cols]
+    absent = join_same(delta, existing.select(*key_cols), key_cols, "left_anti")  # known keys go before anything is folded
     return (
-        absent.groupBy(*keys)
+        absent.groupBy(*key_cols)
         .agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("_rest"))
-        .select(*keys, "_rest.*")
+        .select(*key_cols, "_rest.*")
         .select(*delta.columns)
     )
 
 
 def touched_partitions(existing, delta, cols):
-    """Existing rows in the folders the delta reaches; all other folders are never opened.
-
-    The distinct partition values are no more than the delta's own target folders, so they
-    come to the driver and become a static partition filter.
-    """
-    folders = delta.select(*cols).distinct().collect()
-    matches = [all_of([F.col(c).eqNullSafe(F.lit(row[c])) for c in cols]) for row in folders]
-    return existing.where(reduce(Column.__or__, matches, F.lit(False)))
+    """Existing rows in the folders the delta reaches; all other folders are never opened."""
+    return existing.where(keys.partitions_of(delta, cols))
 
 
-def append_delta(spark, delta, path, keys=C.APPEND_KEY, partition_cols=("pollutant_group", "year")):
+def append_delta(spark, delta, path, key_cols=C.APPEND_KEY, partition_cols=("pollutant_group", "year")):
     """Append rows of known groups with new keys and report what each group gained.
 
     One partitioned write routes the rows to their group folders; groups outside the
     store are left out. Existing rows always win. The delta is computed once, and the report
-    counts the rows that were written.
+    counts the rows that were written. Only files that may hold one of its keys are opened, by
+    the key hashes of :mod:`plumeworks.sources.keys`. A repeated batch adds nothing, also when it was cut off before.
     """
     cols = list(partition_cols)
     existing = parquet_dataset(spark, path)
@@ -84,8 +80,8 @@ def append_delta(spark, delta, path, keys=C.APPEND_KEY, partition_cols=("polluta
     delta = delta.where(F.col("pollutant_group").isin(*C.REFRESH_GROUPS)).select(*existing.columns)
     delta = settle(delta, "append-delta")
     # Every group is a store of its own, so the key holds within the group.
-    key = list(dict.fromkeys(["pollutant_group", *keys]))
-    fresh = settle(new_rows(delta, touched_partitions(existing, delta, cols), key), "append-new")
+    key = list(dict.fromkeys(["pollutant_group", *key_cols]))
+    fresh = settle(new_rows(delta, keys.rows_with_keys(delta, path, key, cols, key), key), "append-new")
     _append(fresh, path, cols)
     added = counts_of(fresh)
     rows = [(g, before.get(g, 0), added.get(g, 0)) for g in C.REFRESH_GROUPS]
@@ -109,7 +105,8 @@ def insert_absent(spark, delta, path, partition_cols=("pollutant_group", "year")
     cols = list(partition_cols)
     store = parquet_dataset(spark, path)
     rows = settle(derive_time(delta).select(*store.columns), "insert-delta")
-    _append(new_rows(rows, touched_partitions(store, rows, cols), C.INSERT_KEY), path, cols)
+    known = keys.rows_with_keys(rows, path, C.INSERT_KEY, cols, C.INSERT_KEY)
+    _append(new_rows(rows, known, C.INSERT_KEY), path, cols)
 
 
 def _append(df, path, cols):
@@ -117,19 +114,43 @@ def _append(df, path, cols):
 
 
 def publish(tables, root, mode="replace"):
-    """Write named tables under ``root`` and expose each one to ``spark.sql``."""
+    """Write named tables under ``root`` and expose each one to ``spark.sql``.
+
+    A replaced table is written as a new version beside the one in use. Readers take the newest version whose
+    write has finished (:func:`published`), so they see the old rows or the new ones, never a half.
+    Appended rows join the version in use, in one commit.
+    """
     for name, df in tables.items():
-        path = f"{root}/{name}"
-        writer = df.write.mode("append" if mode == "append" else "overwrite")
-        writer.option("partitionOverwriteMode", "static").parquet(path)
-        df.sparkSession.read.parquet(path).createOrReplaceTempView(name)
+        spark, found = df.sparkSession, versions(df.sparkSession, root, name)
+        if mode == "append" and found:
+            df.write.mode("append").parquet(f"{root}/{name}/{found[-1]}")
+        else:
+            number = int(found[-1].split("-")[1]) + 1 if found else 1
+            df.write.parquet(f"{root}/{name}/version-{number:06d}-{uuid4().hex}")
+        published(spark, root, name).createOrReplaceTempView(name)
+
+
+def versions(spark, root, name):
+    """Finished versions of a published table, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    done = spark._jvm.org.apache.hadoop.fs.Path(folder, "version-*/_SUCCESS")
+    return sorted(status.getPath().getParent().getName() for status in fs.globStatus(done))
+
+
+def published(spark, root, name):
+    """The newest finished version of a published table, or None."""
+    found = versions(spark, root, name)
+    return spark.read.parquet(f"{root}/{name}/{found[-1]}") if found else None
 
 
 def reconcile(tables, root):
     """One row per published table: rows in the source, rows written, and whether they agree."""
     counts = []
     for name, df in tables.items():
-        written = df.sparkSession.read.parquet(f"{root}/{name}")
+        written = published(df.sparkSession, root, name)
         for side, rows in (("source", df), ("written", written)):
             n = rows.agg(F.count("*").alias("n"))
             counts.append(n.select(F.lit(name).alias("table_name"), F.lit(side).alias("side"), "n"))
@@ -146,13 +167,11 @@ def reconcile(tables, root):
 
 def manifest(spark, root, names=C.EXPORT_NAMES):
     """Expected outputs under ``root``: whether each exists and how many rows it holds."""
-    base = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
     rows = []
     for name in names:
-        path = f"{root}/{name}"
-        if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
-            counted = spark.read.parquet(path).agg(F.count("*").alias("n_rows"))
+        found = published(spark, root, name)
+        if found is not None:
+            counted = found.agg(F.count("*").alias("n_rows"))
         else:
             counted = spark.range(1).select(F.lit(0).cast("long").alias("n_rows"))
         rows.append(counted.select(F.lit(name).alias("table_name"), (F.col("n_rows") > 0).alias("present"), "n_rows"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumeworks import constants as C
 from plumeworks.functions.filters import predicate
 from plumeworks.operators import clean, quality, refresh, weather
-from plumeworks.sources import readers, writers
+from plumeworks.sources import keys, readers, writers
 
 
 def write(path, text):
@@ -134,6 +134,51 @@ def test_append_adds_only_new_keys(spark, folder):
     assert sum(again.values()) == 0 and spark.read.parquet(path).count() == 5
 
 
+def test_append_opens_only_files_that_may_hold_a_key(spark, folder):
+    """Files are looked up by key; a file unknown to the index is added to it, one that is gone is passed over."""
+    path, cols = f"{folder}/bronze", ["pollutant_group", "year"]
+    for hour in ("01:00", "02:00", "03:00"):
+        bronze(spark, {"time_local": hour}, {"time_local": hour, "poc": None}).coalesce(1).write.mode("append").partitionBy(*cols).parquet(path)
+    bronze(spark, {"pollutant_group": "CO"}).coalesce(1).write.mode("append").partitionBy(*cols).parquet(path)
+
+    def opened(*rows):
+        return keys.files_with_keys(bronze(spark, *rows), path, C.APPEND_KEY, cols)
+
+    assert len(opened({"time_local": "02:00", "poc": None})) == 1 and opened({"time_local": "09:00"}) == []
+    assert len(opened({"time_local": "01:00"}, {"time_local": "03:00"}, {"time_local": "05:00"})) == 2
+    indexed = spark.read.parquet(f"{path}/{keys.INDEX}")
+    assert indexed.count() == 6  # the folder of the other group was never reached
+    bronze(spark, {"time_local": "09:00"}).write.mode("append").partitionBy(*cols).parquet(path)
+    assert len(opened({"time_local": "09:00"})) == 1
+    writers.write_partitioned(bronze(spark, {"time_local": "07:00"}), path, cols)
+    assert opened({"time_local": "02:00"}) == [] and len(opened({"time_local": "07:00"})) == 1
+    assert readers.parquet_dataset(spark, path).count() == 2
+
+
+def test_a_failed_append_is_repeated(spark, folder):
+    """Some rows of a batch reach the store before it fails; the repeated batch adds the others once."""
+    path, cols = f"{folder}/bronze", ["pollutant_group", "year"]
+    writers.write_partitioned(bronze(spark, {}), path, cols)
+    delta = bronze(spark, *[{"time_local": f"{h:02d}:00"} for h in range(6)])
+    writers.append_delta(spark, delta.where("time_local = '00:00'"), path)
+    delta.where("time_local < '03:00' AND time_local > '00:00'").write.mode("append").partitionBy(*cols).parquet(path)
+    for want in (3, 0):
+        assert {r[0]: r[2] for r in writers.append_delta(spark, delta, path).collect()}["Ozone"] == want
+    assert spark.read.parquet(path).count() == 7
+
+
+def test_a_replacement_that_fails_leaves_the_old_table(spark, folder):
+    rows = raw(spark, {}, {"poc": 2})
+    writers.publish({"one": rows}, folder)
+    bad = rows.withColumn("poc", F.when(F.col("poc") == 2, F.raise_error(F.lit("cut off"))).otherwise(F.col("poc")).cast("int"))
+    with pytest.raises(Exception, match="cut off"):
+        writers.publish({"one": bad}, folder)
+    assert writers.published(spark, folder, "one").count() == 2 and spark.table("one").count() == 2
+    writers.publish({"one": rows.limit(1)}, folder)
+    assert writers.published(spark, folder, "one").count() == 1 and len(writers.versions(spark, folder, "one")) == 2
+    assert writers.published(spark, folder, "none") is None
+
+
 def test_insert_absent_derives_time_and_keeps_existing(spark, store):
     before = readers.parquet_dataset(spark, store).count()
     delta = raw(spark, {"data_source": "TCEQ"}, {"time_local": "15:00"}, {"time_local": "bad"})
