@@ -9,11 +9,13 @@ could win is dropped and the result equals the exhaustive comparison. A site is
 at most ``LEAF`` places of a cell it reaches, however many stations a town has.
 """
 
+import math
 from functools import reduce
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from plumeworks import constants as C
 from plumeworks.functions.expressions import haversine_km, km_from_haversine
 from plumeworks.session import settle
 
@@ -21,6 +23,7 @@ SPLIT = 8  # each cell splits into SPLIT x SPLIT children
 LEAF = 32  # places in a cell that is not split any further
 DEEPEST = 15  # cells of this level are 5e-12 degrees wide, beyond what coordinates can tell apart
 BROADCAST_LEVELS = 2  # at most SPLIT**4 = 4096 cells exist there: a fixed bound
+KM_PER_DEGREE = math.pi * C.EARTH_RADIUS_KM / 180
 _EXTENT = ["south", "north", "west", "east", "member_lat", "member_lon", "leaf"]
 
 
@@ -153,6 +156,44 @@ def nearest_station(sites, stations, key="aqsid"):
     )
 
 
+def _columns_of_band(band, km):
+    """Cells of a latitude band: as many as fit if each is at least as wide as ``km`` reaches anywhere in it or next to it."""
+    height = km / KM_PER_DEGREE
+    edge = F.greatest(F.abs(band - 1), F.abs(band + 2)) * height
+    reach = F.sin(F.lit(km / (2 * C.EARTH_RADIUS_KM))) / F.cos(F.radians(F.least(edge, F.lit(89.999))))
+    width = F.degrees(2 * F.asin(F.least(reach, F.lit(1.0))))
+    return F.when(edge >= 89.9, 1).otherwise(F.greatest(F.floor(360.0 / width), F.lit(1))).cast("long")
+
+
+def neighbours_within(points, km, key="aqsid"):
+    """``(key, other)``: pairs of points at most ``km`` apart, each pair both ways; ``points`` have ``key, lat, lon``.
+
+    A grid join: bands of latitude ``km`` high, cut into cells at least ``km`` wide. A point looks into its own cell
+    and those around it, across the date line too; bands at the poles are one cell.
+    """
+    rows = points.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(key, "lat", "lon")
+    own_band = F.floor(F.col("lat") / (km / KM_PER_DEGREE)).cast("long")
+
+    def column(band):
+        n = _columns_of_band(band, km)
+        return F.least(F.floor(F.pmod(F.col("lon"), F.lit(360.0)) / 360.0 * n), n - 1).cast("long")
+
+    placed = rows.withColumn("band", own_band).withColumn("column", column(F.col("band")))
+    around = rows.withColumn("band", F.explode(F.array(*[own_band + d for d in (-1, 0, 1)])))
+    n = _columns_of_band(F.col("band"), km)
+    around = around.withColumn("column", F.explode(F.array_distinct(F.array(*[F.pmod(column(F.col("band")) + d, n) for d in (-1, 0, 1)]))))
+    near = placed.select("band", "column", F.col(key).alias("other"), F.col("lat").alias("other_lat"), F.col("lon").alias("other_lon"))
+    pairs = around.join(near, ["band", "column"]).where(F.col(key) != F.col("other"))
+    return pairs.where(haversine_km(F.col("lat"), F.col("lon"), F.col("other_lat"), F.col("other_lon")) <= km).select(key, "other")
+
+
+def fill_co_located(registry, km):
+    """``registry`` with ``co_located_with`` as the first id among the sites within ``km``; sites without one keep the empty text."""
+    first = neighbours_within(registry.select("aqsid", "lat", "lon").distinct(), km).groupBy("aqsid").agg(F.min("other").alias("_other"))
+    filled = registry.join(first, "aqsid", "left").withColumn("co_located_with", F.coalesce("_other", "co_located_with"))
+    return filled.select(*registry.columns)
+
+
 def county_fallback(counties, stations):
     """``(county_name, weather_station)``: the first station whose name contains the county.
 

@@ -39,9 +39,14 @@ def unknown_sites(df):
     return df.select("aqsid").distinct().join(known, "aqsid", "left_anti")
 
 
+def number(column, kind="int"):
+    """A column coerced to a number, bad text becoming null."""
+    return F.col(column).try_cast("double").try_cast(kind)
+
+
 def numeric(columns, kind="int"):
-    """Columns coerced to numbers, bad text becoming null."""
-    return [F.col(c).try_cast("double").try_cast(kind).alias(c) for c in columns]
+    """Columns coerced to numbers under their names."""
+    return [number(c, kind).alias(c) for c in columns]
 
 
 CODES = ["state_code", "county_code", "site_number", "parameter_code", "poc", "method_code"]
@@ -51,18 +56,15 @@ def from_transactions(raw, pollutant_group):
     """Transaction rows to measurement rows.
 
     Values keep their native unit: the unit conversion belongs to the store build and must
-    happen once.
+    happen once. A field that cannot be read is null; ``transactions_and_rejects`` reports it.
     """
     named = raw.select(
-        F.col("state").cast("int").alias("state_code"),
-        F.col("county").cast("int").alias("county_code"),
-        F.col("site").cast("int").alias("site_number"),
-        F.col("param").cast("int").alias("parameter_code"),
-        F.col("poc").cast("int").alias("poc"),
+        *[number(source).alias(name) for source, name in (
+            ("state", "state_code"), ("county", "county_code"), ("site", "site_number"), ("param", "parameter_code"), ("poc", "poc"))],
         F.try_to_date("date", "yyyyMMdd").cast("string").alias("date_local"),
         zero_fill(F.col("time"), 5).alias("time_local"),
-        F.col("value").cast("double").alias("sample_measurement"),
-        F.col("meth").cast("int").alias("method_code"),
+        number("value", "double").alias("sample_measurement"),
+        number("meth").alias("method_code"),
     ).withColumn("aqsid", site_id("state_code", "county_code", "site_number"))
     named = name_counties(name_parameters(named).drop("pollutant_group"))
     named = name_sites(named, F.concat(F.lit("UNKNOWN_"), F.col("aqsid")))

@@ -45,6 +45,33 @@ def rolling_mean(series, keys=SITE, rows=8, min_periods=C.MIN_HOURS_8H, name="me
     )
 
 
+def rolling_mean_in_blocks(series, keys=SITE, rows=8, min_periods=C.MIN_HOURS_8H, name="mean_8h", block="month"):
+    """:func:`rolling_mean` for sites of any length: a task holds a site's block of time, not the site.
+
+    Each block is handed the ``rows - 1`` rows before it. They are among the last rows of as many
+    earlier blocks, since a block that exists has a row; the blocks of a site are few.
+    """
+    need = rows - 1
+    inside = [*keys, "_block"]
+    placed = series.withColumn("_block", F.date_trunc(block, "datetime"))
+    latest = Window.partitionBy(*inside).orderBy(F.desc("datetime"))
+    tails = (
+        placed.select(*inside, "datetime", "value")
+        .withColumn("_rank", F.row_number().over(latest))
+        .where(F.col("_rank") <= need)  # limited map-side before the shuffle
+        .groupBy(*inside)
+        .agg(F.sort_array(F.collect_list(F.struct("datetime", "value"))).alias("_tail"))
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(-need, -1)
+    carried = tails.withColumn("_carry", F.flatten(F.collect_list("_tail").over(earlier)))
+    start = F.greatest(F.size("_carry") - need + 1, F.lit(1))
+    halo = carried.select(*inside, F.inline(F.slice("_carry", start, F.lit(need)))).withColumn("_own", F.lit(False))
+    both = placed.withColumn("_own", F.lit(True)).unionByName(halo, allowMissingColumns=True)
+    w = Window.partitionBy(*inside).orderBy("datetime").rowsBetween(-need, 0)
+    mean = F.when(F.count("value").over(w) >= min_periods, F.avg("value").over(w))
+    return both.withColumn(name, mean).where("_own").drop("_own", "_block")
+
+
 def daily_means(series, keys=SITE, min_hours=C.MIN_HOURS_DAY):
     """Daily mean, null unless enough non-null hours."""
     return _daily(series, keys, min_hours, F.avg("value"))

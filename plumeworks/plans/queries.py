@@ -83,6 +83,32 @@ def _(t):
     return _reading_stats(readers.measurement_csv(t.spark, path))
 
 
+def _spoilt(t):
+    """Raw measurements as text, some values unreadable: words for numbers, a unit behind a value, a broken code."""
+    rows = t.raw()
+    value, site, poc = F.col("sample_measurement").cast("string"), F.col("site_number"), F.col("poc")
+    return rows.withColumns({
+        "sample_measurement": F.when((site % 5 == 0) & (poc == 2), F.lit("n/a")).when((site % 7 == 0) & (poc == 1), F.concat(F.lit("~"), F.col("data_source"))).otherwise(value),
+        "poc": F.when(site % 11 == 0, F.concat(poc.cast("string"), F.lit("x"))).otherwise(poc.cast("string")),
+    })
+
+
+@query(
+    "S1_rejects",
+    """SELECT pollutant_group || '_AllCounties_spoilt.csv' AS file, col AS "column", txt AS text, 'not ' || CASE col WHEN 'poc' THEN 'int' ELSE 'double' END AS reason,
+              count(*) AS n_rows FROM (
+         SELECT pollutant_group, 'sample_measurement' AS col, CASE WHEN site_number % 5 = 0 AND poc = 2 THEN 'n/a' WHEN site_number % 7 = 0 AND poc = 1 THEN '~' || data_source END AS txt FROM raw
+         UNION ALL SELECT pollutant_group, 'poc', CASE WHEN site_number % 11 = 0 THEN poc || 'x' END FROM raw) WHERE txt IS NOT NULL GROUP BY ALL""",
+)
+def _(t):
+    path, rows = folder(t, "s1-rejects"), _spoilt(t)
+    for group in C.POLLUTANT_GROUPS:
+        one = rows.where(F.col("pollutant_group") == group)
+        writers.write_csv(one, f"{path}/{group}_AllCounties_spoilt.csv")
+    stored, rejects = readers.measurements_and_rejects(t.spark, f"{path}/{C.MEASUREMENT_FILE_GLOB}")
+    return rejects.groupBy("file", "column", "text", "reason").agg(F.count("*").alias("n_rows"))
+
+
 @query(
     "S2_partitioned_scan",
     "SELECT aqsid, datetime, sample_measurement, parameter_code, site_name, county_name FROM hourly WHERE pollutant_group = 'Ozone'",
@@ -137,12 +163,7 @@ def _(t):
     )
 
 
-@query("S5_site_reference_csv", "SELECT aqsid, lat, lon FROM coords_1", "lat lon")
-def _(t):
-    return _reference_csv(t, t.coordinate_sources()[0])
-
-
-@query("S5_site_reference_csv_all_sites", "SELECT aqsid, lat, lon FROM coords_1_all", "lat lon")
+@query("S5_site_reference_csv", "SELECT aqsid, lat, lon FROM coords_1_all", "lat lon")
 def _(t):
     return _reference_csv(t, t.coordinate_sources(complete=True)[0])
 
@@ -152,12 +173,7 @@ def _reference_csv(t, first):
     return readers.site_reference(t.spark, path)
 
 
-@query("S6_second_coordinate_source", "SELECT aqsid, lat, lon FROM coords_2", "lat lon")
-def _(t):
-    return _second_source(t, t.coordinate_sources()[1])
-
-
-@query("S6_second_coordinate_source_all_sites", "SELECT aqsid, lat, lon FROM coords_2_all", "lat lon")
+@query("S6_second_coordinate_source", "SELECT aqsid, lat, lon FROM coords_2_all", "lat lon")
 def _(t):
     return _second_source(t, t.coordinate_sources(complete=True)[1])
 
@@ -250,15 +266,6 @@ def _(t):
 
 @query(
     "S9_source_dispatch",
-    """SELECT source, aqsid, lat, lon FROM coords_1 CROSS JOIN (VALUES ('csv'), ('parquet'), ('parquet_dir')) v(source)""",
-    "lat lon",
-)
-def _(t):
-    return _dispatched(t, t.coordinate_sources()[0])
-
-
-@query(
-    "S9_source_dispatch_all_sites",
     """SELECT source, aqsid, lat, lon FROM coords_1_all CROSS JOIN (VALUES ('csv'), ('parquet'), ('parquet_dir')) v(source)""",
     "lat lon",
 )
@@ -371,7 +378,7 @@ def _(t):
 )
 def _(t):
     bare = t.raw_weather().drop("year", "month", "hour_local")
-    return weather.ensure_time(bare).groupBy("year", "month", "hour").agg(F.count("*").alias("n_rows"))
+    return weather.derive_columns(bare, weather.TIME).groupBy("year", "month", "hour").agg(F.count("*").alias("n_rows"))
 
 
 @query(
@@ -491,100 +498,63 @@ def _(t):
 
 
 # ------------------------------------------------------------------ series ---
-@query("A1_site_series", "SELECT pollutant_group, aqsid, datetime, value FROM series", "value")
+@query("A1_site_series", "SELECT pollutant_group, aqsid, datetime, value FROM series_all", "value")
 def _(t):
-    rows = clean.restrict_no2(t.get("hourly").where(F.col("pollutant_group") != "VOCs"))
-    return series.site_series(rows, series.GROUP_SITE)
+    return _series(t)
 
 
-def _rolled(t, group=None):
-    rows = t.get("hourly").where(F.col("pollutant_group") != "VOCs")
-    if group:
-        rows = rows.where(F.col("pollutant_group") == group)
-    keys = series.GROUP_SITE
-    return series.rolling_mean(series.site_series(clean.restrict_no2(rows), keys), keys)
+def _series(t):
+    return series.site_series(clean.restrict_no2(t.get("hourly")), series.GROUP_SITE)
 
 
-@query("W1_rolling_8h", "SELECT pollutant_group, aqsid, datetime, value, mean_8h FROM rolled", "value mean_8h")
-def _(t):
-    return _rolled(t)
+def _rolled(t):
+    return series.rolling_mean(_series(t), series.GROUP_SITE)
 
 
-@query(
-    "A2_daily_mean",
-    """SELECT pollutant_group, aqsid, CAST(datetime AS DATE) AS day, count(value) AS n_hours,
-              CASE WHEN count(value) >= 18 THEN avg(value) END AS daily_value FROM series GROUP BY 1, 2, 3""",
-    "daily_value",
-)
+@query("W1_rolling_8h", "SELECT pollutant_group, aqsid, datetime, value, mean_8h FROM rolled_all", "value mean_8h")
 def _(t):
-    return series.daily_means(_rolled(t), series.GROUP_SITE)
+    return _rolled(t)
 
 
 @query(
-    "A3_daily_max",
-    """SELECT pollutant_group, aqsid, CAST(datetime AS DATE) AS day, count(value) AS n_hours,
-              CASE WHEN count(value) >= 18 THEN max(value) END AS daily_value FROM series GROUP BY 1, 2, 3""",
-    "daily_value",
+    "W1_one_site",
+    """SELECT datetime, value, CASE WHEN count(value) OVER w >= 6 THEN avg(value) OVER w END AS mean_8h FROM (
+         SELECT datetime, avg(sample_measurement) AS value FROM hourly WHERE aqsid IS NOT NULL GROUP BY 1) WINDOW w AS (ORDER BY datetime ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)""",
+    "value mean_8h",
 )
 def _(t):
-    return series.daily_maxima(_rolled(t), series.GROUP_SITE)
+    """All rows as if one site had measured them."""
+    rows = t.get("hourly").where(F.col("aqsid").isNotNull()).withColumn("aqsid", F.lit("all"))
+    return series.rolling_mean_in_blocks(series.site_series(rows)).select("datetime", "value", "mean_8h")
 
 
 @query(
-    "A4_daily_max_8h",
-    "SELECT pollutant_group, aqsid, CAST(datetime AS DATE) AS day, max(mean_8h) AS max_8h FROM rolled GROUP BY 1, 2, 3",
-    "max_8h",
-)
-def _(t):
-    return series.daily_max_8h(_rolled(t), series.GROUP_SITE)
-
-
-# The SQL of the five queries above leaves VOCs out, which only the metric dispatch needs; these take every group.
-def _series_of_all(t):
-    return series.site_series(clean.restrict_no2(t.get("hourly")), series.GROUP_SITE)
-
-
-def _rolled_of_all(t):
-    return series.rolling_mean(_series_of_all(t), series.GROUP_SITE)
-
-
-@query("A1_site_series_all_groups", "SELECT pollutant_group, aqsid, datetime, value FROM series_all", "value")
-def _(t):
-    return _series_of_all(t)
-
-
-@query("W1_rolling_8h_all_groups", "SELECT pollutant_group, aqsid, datetime, value, mean_8h FROM rolled_all", "value mean_8h")
-def _(t):
-    return _rolled_of_all(t)
-
-
-@query(
-    "A2_daily_mean_all_groups",
+    "A2_daily_mean",
     """SELECT pollutant_group, aqsid, CAST(datetime AS DATE) AS day, count(value) AS n_hours,
               CASE WHEN count(value) >= 18 THEN avg(value) END AS daily_value FROM series_all GROUP BY 1, 2, 3""",
     "daily_value",
 )
 def _(t):
-    return series.daily_means(_rolled_of_all(t), series.GROUP_SITE)
+    return series.daily_means(_rolled(t), series.GROUP_SITE)
 
 
 @query(
-    "A3_daily_max_all_groups",
+    "A3_daily_max",
     """SELECT pollutant_group, aqsid, CAST(datetime AS DATE) AS day, count(value) AS n_hours,
               CASE WHEN count(value) >= 18 THEN max(value) END AS daily_value FROM series_all GROUP BY 1, 2, 3""",
     "daily_value",
 )
 def _(t):
-    return series.daily_maxima(_rolled_of_all(t), series.GROUP_SITE)
+    return series.daily_maxima(_rolled(t), series.GROUP_SITE)
 
 
 @query(
-    "A4_daily_max_8h_all_groups",
+    "A4_daily_max_8h",
     "SELECT pollutant_group, aqsid, CAST(datetime AS DATE) AS day, max(mean_8h) AS max_8h FROM rolled_all GROUP BY 1, 2, 3",
     "max_8h",
 )
 def _(t):
-    return series.daily_max_8h(_rolled_of_all(t), series.GROUP_SITE)
+    return series.daily_max_8h(_rolled(t), series.GROUP_SITE)
 
 
 _METRIC_IDS = {
@@ -628,7 +598,7 @@ def _(t):
     "max_8h",
 )
 def _(t):
-    days = series.site_days(_rolled(t, "Ozone"), series.GROUP_SITE).withColumn("max_8h", F.round("max_8h", 9))
+    days = series.site_days(_rolled(t).where(F.col("pollutant_group") == "Ozone"), series.GROUP_SITE).withColumn("max_8h", F.round("max_8h", 9))
     return metrics.nth_highest_day(days, 4).select("aqsid", "year", "day", "max_8h")
 
 
@@ -794,6 +764,21 @@ def _(t):
     )
 
 
+@query(
+    "J7_one_station",
+    """SELECT w.year AS year, count(*) AS n_rows, avg(sample_measurement) AS mean_value, avg(temp_c) AS temp_c FROM hourly h
+       JOIN (SELECT * FROM weather WHERE location = (SELECT min(location) FROM weather)) w ON CAST(h.datetime AS DATE) = CAST(w.datetime_local AS DATE) GROUP BY 1""",
+    "mean_value temp_c",
+)
+def _(t):
+    """Every measurement with one station's weather of the day: a few keys hold all rows."""
+    station = t.get("weather").agg(F.min("location")).scalar()
+    days = t.get("weather").where(F.col("location") == station).select("year", "temp_c", F.to_date(F.col("datetime_local").try_cast("timestamp_ntz")).alias("day"))
+    rows = t.get("hourly").select("sample_measurement", F.to_date("datetime").alias("day"))
+    joined = merge.join_with_hot_keys(rows, days, ["day"], limit=50)
+    return joined.groupBy("year").agg(F.count("*").alias("n_rows"), F.avg("sample_measurement").alias("mean_value"), F.avg("temp_c").alias("temp_c"))
+
+
 @query(
     "J9_excluded_by_key",
     f"""SELECT {', '.join(C.APPEND_KEY)} FROM (SELECT DISTINCT {', '.join(C.APPEND_KEY)} FROM raw) d WHERE NOT EXISTS (
@@ -810,6 +795,17 @@ def _(t):
     return merge.prefer_first(sources, "aqsid", ["lat", "lon"])
 
 
+@query(
+    "W3_earliest_row",
+    """SELECT aqsid, parameter_code, datetime, data_source, poc, sample_measurement FROM (
+         SELECT *, row_number() OVER (PARTITION BY aqsid, parameter_code ORDER BY datetime, data_source NULLS FIRST, poc NULLS FIRST, sample_measurement NULLS FIRST) AS n FROM hourly) WHERE n = 1""",
+    "sample_measurement",
+)
+def _(t):
+    rows = t.get("hourly").select("aqsid", "parameter_code", "datetime", "data_source", "poc", "sample_measurement")
+    return merge.keep_first(rows, ["aqsid", "parameter_code"], ["datetime", "data_source", "poc"])
+
+
 @query("T1_ordered_values", f"SELECT {_DV} FROM dv ORDER BY pollutant_group, aqsid, year, metric", "value naaqs_level")
 def _(t):
     return metrics.ordered(t.get("values")).select(*_DV.split(", "))
@@ -826,15 +822,6 @@ def _(t):
 
 @query(
     "U1_union_by_name",
-    "SELECT aqsid, lat, lon, 'first' AS origin FROM coords_1 UNION ALL SELECT aqsid, lat, lon, NULL FROM coords_2", "lat lon",
-)
-def _(t):
-    first, second = t.coordinate_sources()
-    return first.withColumn("origin", F.lit("first")).unionByName(second, allowMissingColumns=True)
-
-
-@query(
-    "U1_union_by_name_all_sites",
     "SELECT aqsid, lat, lon, 'first' AS origin FROM coords_1_all UNION ALL SELECT aqsid, lat, lon, NULL FROM coords_2_all", "lat lon",
 )
 def _(t):
@@ -1283,10 +1270,13 @@ def _(t):
 
 @query(
     "Q10_co_located",
-    "SELECT co_located_with, aqsid, site_name, county_name, lat, lon, data_status FROM registry WHERE co_located_with <> ''", "lat lon",
+    f"""SELECT min(b.aqsid) AS co_located_with, a.aqsid, a.site_name, a.county_name, a.lat, a.lon, a.data_status
+        FROM registry a JOIN registry b ON a.aqsid <> b.aqsid AND {km("a.lat", "a.lon", "b.lat", "b.lon")} <= 20 GROUP BY ALL""",
+    "lat lon",
 )
 def _(t):
-    return cat.co_located(t.get("registry"))
+    """Sites within 20 km of another one, by a grid join that fills the registry's column."""
+    return cat.co_located(geo.fill_co_located(t.get("registry"), 20.0))
 
 
 _SEASON_OF = "(['DJF', 'MAM', 'JJA', 'SON'])[CAST(month(CAST(date_local AS DATE)) % 12 // 3 AS INTEGER) + 1]"

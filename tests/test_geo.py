@@ -96,3 +96,14 @@ def test_a_crowded_town_is_split_until_cells_are_small(spark):
     assert near[0] <= 9 * geo.LEAF and near[1] <= 3 * geo.LEAF
     levels, ends = geo.split_cells(stations(spark, posts).groupBy("lat", "lon").agg(F.min("location").alias("location")))
     assert len(levels) > 4 and ends.count() == 1501 and ends.groupBy("level", "row", "col").count().agg(F.max("count")).first()[0] <= geo.LEAF
+
+
+def test_neighbours_within_equal_all_pairs(spark):
+    """Towns, the date line and both poles."""
+    rng = random.Random(14)
+    points = [(rng.choice([29.4, -12.0, 71.0]) + rng.gauss(0, 0.3), rng.choice([-98.5, 179.9, -179.9]) + rng.gauss(0, 0.3)) for _ in range(250)]
+    points = [(lat, (lon + 180) % 360 - 180) for lat, lon in points] + [(89.95, 10.0), (89.96, -170.0), (-90.0, 0.0), (-89.99, 77.0), (29.4, -98.5), (29.4, -98.5)]
+    for reach in (3.0, 25.0):
+        got = {(r["aqsid"], r["other"]) for r in geo.neighbours_within(sites(spark, points), reach).collect()}
+        want = {(f"s{i}", f"s{j}") for i, p in enumerate(points) for j, q in enumerate(points) if i != j and km(*p, *q) <= reach}
+        assert got == want

@@ -86,3 +86,26 @@ def test_excluded_site_is_listed_when_it_has_no_data(spark):
     assert [r["data_status"] for r in registry.ordered(out).collect()] == (
         ["active", "disabled", "excluded"] + ["reference"] * 3
     )
+
+
+def test_hot_keys_are_spread_and_join_alike(spark):
+    """One key holds nearly all rows: same rows as a plain join, and no task holds most of them."""
+    left = spark.range(20000).selectExpr("IF(id % 100 = 0, id % 7, -1) AS k", "id AS v")
+    right = spark.createDataFrame([(-1, "a"), (-1, "b"), (3, "c"), (9, "d")], "k long, w string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = merge.join_with_hot_keys(left, right, ["k"], limit=500)
+        per_task = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert joined.exceptAll(left.join(right, "k")).isEmpty() and joined.count() == left.join(right, "k").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert per_task < joined.count() / 4
+
+
+def test_keep_first_takes_the_earliest_row(spark):
+    rows = spark.createDataFrame([("a", 2, "x"), ("a", 1, "z"), ("a", 1, "y"), (None, 3, None), (None, 3, "q")], "k string, t int, v string")
+    assert sorted(map(tuple, merge.keep_first(rows, ["k"], ["t"]).collect()), key=str) == [("a", 1, "y"), (None, 3, None)]

@@ -63,7 +63,7 @@ def test_plans_have_no_pairwise_joins_or_python(spark, name):
 
 
 def test_series_of_all_groups_hold_vocs(spark, db):
-    name = "A1_site_series_all_groups"
+    name = "A1_site_series"
     found = QUERIES[name](spark, FOLDER)
     assert found.where("pollutant_group = 'VOCs'").count() > 0
     rel = db.execute(ORACLE[name])
@@ -72,8 +72,8 @@ def test_series_of_all_groups_hold_vocs(spark, db):
 
 @pytest.mark.parametrize("name, times", [("S5_site_reference_csv", 1), ("S6_second_coordinate_source", 1), ("S9_source_dispatch", 3), ("U1_union_by_name", 2)])
 def test_all_sites_hold_every_supplier(spark, db, name, times):
-    found = QUERIES[f"{name}_all_sites"](spark, FOLDER)
+    found = QUERIES[name](spark, FOLDER)
     data = [tuple(r) for r in found.collect()]
     assert len(data) == times * db.execute("SELECT count(*) FROM supplier").fetchone()[0]
-    rel = db.execute(ORACLE[f"{name}_all_sites"])
+    rel = db.execute(ORACLE[name])
     assert rows(found.columns, data) == rows([c[0] for c in rel.description], rel.fetchall())

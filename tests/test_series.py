@@ -88,3 +88,29 @@ def test_one_hot_site_is_averaged_before_any_window(spark):
     cold = hours(spark, "2023-07-01", [3.0] * 100, aqsid="B")
     out = series.site_series(hot.drop("_").unionByName(cold))
     assert out.count() == 101
+
+
+def test_blocks_of_a_long_site_equal_one_window(spark):
+    """Sparse months (some with fewer rows than the halo), gaps of a year and null values."""
+    rng = random.Random(3)
+    begin = dt.datetime(2020, 12, 30)
+    rows, at = [], begin
+    for _ in range(900):
+        at += dt.timedelta(hours=rng.choice([1, 1, 2, 300, 900]))
+        rows.append((rng.choice("AB"), at, rng.choice([None, rng.random()])))
+    data = spark.createDataFrame(rows, "aqsid string, datetime timestamp_ntz, value double")
+    want = table(series.rolling_mean(data), "aqsid", "datetime")
+    assert table(series.rolling_mean_in_blocks(data).select("aqsid", "datetime", "value", "mean_8h"), "aqsid", "datetime") == want
+
+
+def test_one_site_is_many_tasks(spark):
+    """One site of 40,000 hours: no task of the window holds more than some months."""
+    one = spark.range(40000).selectExpr("'A' AS aqsid", "timestampadd(HOUR, CAST(id AS INT), TIMESTAMP_NTZ'2020-01-01 00:00:00') AS datetime", "CAST(id % 7 AS DOUBLE) AS value")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per_task = series.rolling_mean_in_blocks(one).groupBy(F.spark_partition_id()).agg(F.count("mean_8h").alias("n")).agg(F.max("n")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert per_task <= 6 * 744

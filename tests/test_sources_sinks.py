@@ -296,3 +296,32 @@ def test_no_data_is_committed():
     for base, dirs, files in os.walk(root):
         dirs[:] = [d for d in dirs if not d.startswith((".", "__"))]
         assert not [f for f in files if f.endswith((".parquet", ".csv"))], base
+
+
+def test_unreadable_values_are_reported_and_the_rest_is_kept(spark, folder):
+    """Good, short, reordered and spoilt files in one read."""
+    head = ",".join(C.MEASUREMENT_COLUMNS)
+    good = ",".join(str(DEFAULTS[c]) for c in C.MEASUREMENT_COLUMNS)
+    spoilt = ",".join({"poc": "1b", "sample_measurement": "n/a"}.get(c, str(DEFAULTS[c])) for c in C.MEASUREMENT_COLUMNS)
+    files = {"a.csv": f"{head}\n{good}\n{spoilt}\n", "b.csv": "poc,aqsid\n2,7\n47.0,8\n4.5,9\n,\n", "c.csv": ""}
+    for name, text in files.items():
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(text)
+    stored, rejects = readers.measurements_and_rejects(spark, folder)
+    assert table(rejects, "file", "column") == [
+        ("a.csv", "poc", "1b", "not int"), ("a.csv", "sample_measurement", "n/a", "not double"), ("b.csv", "poc", "4.5", "not int")]
+    assert stored.columns == C.MEASUREMENT_COLUMNS and stored.count() == 6
+    assert [tuple(r) for r in stored.where("aqsid IN ('7', '8', '9')").orderBy("aqsid").select("poc").collect()] == [(2,), (47,), (None,)]
+
+
+def test_bad_transaction_fields_do_not_end_the_run(spark, folder):
+    fields = {"ttype": "RD", "state": "48", "county": "029", "site": "0052", "param": "44201", "poc": "1", "meth": "047", "date": "20230701", "time": "7:00", "value": "0.5"}
+    lines = [fields, {**fields, "value": "?"}, {**fields, "date": "2023-07", "meth": "x"}, {**fields, "poc": ""}]
+    text = ["|".join(r.get(n, "") for n in C.TRANSACTION_FIELDS) for r in lines]
+    with open(f"{folder}/t.txt", "w") as f:
+        f.write("\n".join(["# head", *text, text[0] + "|a|b"]) + "\n")
+    kept, rejects = readers.transactions_and_rejects(spark, f"{folder}/t.txt")
+    assert table(rejects.select("column", "text", "reason"), "column") == [
+        ("_surplus", "a", "too many fields"), ("date", "2023-07", "not yyyyMMdd"), ("meth", "x", "not int"), ("value", "?", "not double")]
+    rows = refresh.from_transactions(kept, "Ozone")
+    assert rows.count() == 4 and rows.where("sample_measurement IS NULL").count() == 1 and rows.where("poc IS NULL").count() == 1
