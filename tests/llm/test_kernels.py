@@ -62,13 +62,14 @@ def test_cover_trees_find_every_link():
 
 def test_hamming_search_equals_scan():
     rng = np.random.default_rng(3)
-    code = rng.integers(0, 2**63, 300).astype(np.uint64)
-    code[:100] &= np.uint64(0xFF0F)
-    ids = rng.permutation(300) * 2
-    q, near, far = hamming.search_block(ids, code, ids[:5], code[:5], 10)
-    for k in range(5):
-        scan = sorted((int(np.bitwise_count(code[i] ^ code[k])), int(ids[i])) for i in range(300) if i != k)[:10]
-        assert sorted(zip(far[q == k].tolist(), near[q == k].tolist())) == scan
+    for segments in (1, 4, 8):
+        code = rng.integers(0, 1 << 16, (300, segments)).astype(np.uint16)
+        code[:100] &= np.uint16(0xFF0F)
+        ids = rng.permutation(300) * 2
+        q, near, far = hamming.search_block(ids, code, ids[:5], code[:5], 10)
+        for k in range(5):
+            scan = sorted((int(np.bitwise_count(code[i] ^ code[k]).sum()), int(ids[i])) for i in range(300) if i != k)[:10]
+            assert sorted(zip(far[q == k].tolist(), near[q == k].tolist())) == scan
 
 
 def test_signatures_agree_as_often_as_sets_are_similar():
