@@ -27,6 +27,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(columns, *wanted: str) -> list[str]:
+    """Names like the wanted ones that no column has, whatever its case."""
+    taken = {c.lower() for c in columns}
+    found = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
+def bound(value, use):
+    """``use`` of a value that is evaluated once, however often or deep in lambdas ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def small_side(settled: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """The settled table with a broadcast hint if its counted rows are within the limit, else as it is."""
     return F.broadcast(settled) if settled.count() <= limit else settled

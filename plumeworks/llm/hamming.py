@@ -8,61 +8,57 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from plumeworks.llm.common import settle
 
-#: Nearest rows returned; segments of a code; rows and queries of a block.
+#: Nearest rows returned; rows and queries of a block.
 K = 10
-SEGMENTS = 4
 ROW_BLOCK = 16_384
 QUERY_BLOCK = 1024
-#: Bits of a segment: 64-bit codes in four parts.
+#: Bits of a segment: a code is as many segments as its vector needs.
 _WIDTH = 16
 
 
 def codes(vectors: DataFrame, id_col="vec_id", vec_col="embedding") -> DataFrame:
-    """``(id, code)``: bit i of the 64-bit code is set if component i is above zero.
+    """``(id, code)``: bit i of the code is set if component i is above zero; the code is an array of 16-bit segments.
 
-    Vectors with more than 64 components use the first sign of each 64 by exclusive or; shorter ones leave the other bits
-    unset. Null vectors, and those with a null or non-finite component, have no code and are left out, as are null ids.
+    Null vectors, and those with a null or non-finite component, have no code and are left out, as are null ids.
     """
     v = F.col(vec_col)
     valid = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    bits = F.aggregate(
-        F.transform(v, lambda x, i: F.when(x > 0, F.expr("cast(1 as bigint)")).otherwise(F.expr("cast(0 as bigint)"))),
-        F.struct(F.lit(0).cast("long").alias("code"), F.lit(0).alias("at")),
-        lambda acc, bit: F.struct(acc["code"].bitwiseXOR(F.call_function("shiftleft", bit, acc["at"] % 64)).alias("code"), (acc["at"] + 1).alias("at")),
-        lambda acc: acc["code"],
-    )
-    return vectors.where(valid & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), bits.alias("code"))
+    one = F.lit(1)
 
+    def segment(s):
+        bits = F.transform(F.slice(v, s * _WIDTH + 1, F.lit(_WIDTH)), lambda x, i: F.when(x > 0, F.call_function("shiftleft", one, i)).otherwise(F.lit(0)))
+        return F.aggregate(bits, F.lit(0), lambda a, b: a + b)
 
-def _masks(radius: int) -> np.ndarray:
-    return np.array([sum(1 << b for b in bits) for bits in combinations(range(_WIDTH), radius)], np.int64)
+    last = F.greatest(F.ceil(F.size(v) / _WIDTH).cast("int") - 1, F.lit(0))
+    return vectors.where(valid & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.transform(F.sequence(F.lit(0), last), segment).alias("code"))
 
 
-def _parts(code: np.ndarray) -> list[np.ndarray]:
-    return [((code >> np.uint64(_WIDTH * s)) & np.uint64(0xFFFF)).astype(np.int64) for s in range(SEGMENTS)]
+def _masks(radius: int) -> np.ndarray:
+    return np.array([sum(1 << b for b in bits) for bits in combinations(range(_WIDTH), radius)], np.int64)
 
 
 def search_block(ids, code, q_ids, q_code, k):
     """The ``k`` nearest rows of one block for each query, as (query row, id, distance); ties by smaller id; not itself.
 
-    Rows are indexed by each segment's value. Radii grow one segment at a time: once segments 0 to s have been searched to
-    radius r and the others to r - 1, every row within Hamming distance ``SEGMENTS * r + s`` of the query has been seen, since
-    a farther row alone exceeds all the radii. A query ends when its k-th verified distance is within that.
+    Codes are rows of segments. Rows are indexed by each segment's value. Radii grow one segment at a time: once segments 0 to s
+    have been searched to radius r and the others to r - 1, every row within Hamming distance ``segments * r + s`` of the query
+    has been seen, since a farther row alone exceeds all the radii. A query ends when its k-th verified distance is within that.
     """
     order_ids = np.argsort(ids, kind="stable")
     ids, code = ids[order_ids], code[order_ids]
+    segments = code.shape[1]
     index = []
-    for part in _parts(code):
+    for part in code.T.astype(np.int64):
         order = np.argsort(part, kind="stable")
         index.append((order, np.searchsorted(part[order], np.arange((1 << _WIDTH) + 1))))
     masks = [_masks(r) for r in range(_WIDTH + 1)]
     out = []
     for q, (own, c) in enumerate(zip(q_ids, q_code)):
-        parts = [int(p[0]) for p in _parts(np.array([c], np.uint64))]
+        parts = c.astype(np.int64).tolist()
         seen = np.zeros(len(ids), bool)
         best_row, best_far = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for step in range((_WIDTH + 1) * SEGMENTS):
-            r, s = divmod(step, SEGMENTS)
+        for step in range((_WIDTH + 1) * segments):
+            r, s = divmod(step, segments)
             order, at = index[s]
             keys = parts[s] ^ masks[r]
             lo, n = at[keys], at[keys + 1] - at[keys]
@@ -74,7 +70,8 @@ def search_block(ids, code, q_ids, q_code, k):
                 rows = rows[~seen[rows]]
                 seen[rows] = True
                 rows = rows[ids[rows] != own]
-                row, far = np.concatenate([best_row, rows]), np.concatenate([best_far, np.bitwise_count(code[rows] ^ c).astype(np.int64)])
+                far = np.bitwise_count(code[rows] ^ c).sum(axis=1, dtype=np.int64)
+                row, far = np.concatenate([best_row, rows]), np.concatenate([best_far, far])
                 if len(row) > k:
                     keep = np.lexsort((row, far))[:k] if len(row) < 4 * k else _nearest(row, far, k)
                     row, far = row[keep], far[keep]
@@ -96,9 +93,13 @@ def top_k(rows: DataFrame, queries: DataFrame, k=K, row_block=ROW_BLOCK, query_b
 
     Both sides are dealt by hash into blocks of bounded size, one row each; every query block meets every row block and the
     best of each are merged per query (``k`` per row block). Ties go to the smaller id; a row with the query's own id is not
-    returned; fewer than ``k + 1`` rows return all. Empty sides return nothing. Ids are longs and unique.
+    returned; fewer than ``k + 1`` rows return all. Empty sides return nothing. Ids are longs and unique. Shorter codes are
+    filled up with unset bits.
     """
     n_rows, n_queries = rows.count(), queries.count()
+    segments = max((df.agg(F.max(F.size("code"))).first()[0] or 1) for df in (rows, queries))
+    filled = F.transform(F.sequence(F.lit(0), F.lit(segments - 1)), lambda s: F.coalesce(F.get("code", s), F.lit(0)))
+    rows, queries = rows.withColumn("code", filled), queries.withColumn("code", filled)
     blocks, q_blocks = max(1, -(-n_rows // row_block)), max(1, -(-n_queries // query_block))
 
     def blocked(df, n, tag):
@@ -112,8 +113,9 @@ def top_k(rows: DataFrame, queries: DataFrame, k=K, row_block=ROW_BLOCK, query_b
     def run(batches):
         for batch in batches:
             for j in range(batch.num_rows):
-                q_ids, q_codes, ids, own = (batch.column(c)[j].values.to_numpy(zero_copy_only=False) for c in range(4))
-                q, near, far = search_block(ids, own.view(np.uint64), q_ids, q_codes.view(np.uint64), k)
+                q_ids, ids = (batch.column(c)[j].values.to_numpy(zero_copy_only=False) for c in (0, 2))
+                q_codes, own = (batch.column(c)[j].values.flatten().to_numpy(zero_copy_only=False).astype(np.uint16).reshape(-1, segments) for c in (1, 3))
+                q, near, far = search_block(ids, own, q_ids, q_codes, k)
                 yield pa.RecordBatch.from_arrays([pa.array(q_ids[q]), pa.array(near), pa.array(far.astype(np.int32))], ["query_id", "id", "distance"])
 
     found = pairs.mapInArrow(run, "query_id long, id long, distance int")

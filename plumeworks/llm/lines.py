@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plumeworks.llm.common import settle, small_side
+from plumeworks.llm.common import bound, free_names, settle, small_side
 
 #: Lines of at least so many characters (code points, without outer white space) that are up to one edit apart are duplicates.
 #: Shorter ones are duplicates only if they are equal: one edit turns ``1.`` into ``2.`` and one name into another.
@@ -70,7 +70,17 @@ def removed_lines(docs: DataFrame, id_col="doc_id", text_col="text", min_chars=M
     again = firsts.join(near, ["h", "g"], "left").where("near OR first < last").select("h", "g", "first", F.coalesce("near", F.lit(False)).alias("near"))
     again = settle(again, "line-again")
     places = rows.select("doc", "pos", "h", "g").join(small_side(again), ["h", "g"]).where("near OR doc <> first.doc OR pos <> first.pos")
-    return places.groupBy("doc").agg(F.collect_set("pos").alias("gone"))
+    return places.groupBy("doc").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
+
+
+def _without(text, gone):
+    """The text without the lines at the positions ``gone``, in order: the stretches between them, each copied once."""
+    def cut(lines):
+        starts = F.concat(F.array(F.lit(0)), F.transform(gone, lambda g: g + 1))
+        ends = F.concat(gone, F.array(F.size(lines)))
+        return F.array_join(F.flatten(F.zip_with(starts, ends, lambda a, b: F.slice(lines, a + 1, b - a))), "\n")
+
+    return bound(F.split(text, "\n", -1), cut)
 
 
 def dedup_lines(docs: DataFrame, id_col="doc_id", text_col="text", min_chars=MIN_CHARS, count_col="lines_removed", least_chars=1) -> DataFrame:
@@ -80,13 +90,11 @@ def dedup_lines(docs: DataFrame, id_col="doc_id", text_col="text", min_chars=MIN
     the order of id and position; outer white space does not count. Lines of fewer than ``min_chars`` characters go only if they
     are equal to an earlier one; blank lines and those of fewer than ``least_chars`` stay.
     What stays is unchanged. Rows with a null id or text are unchanged; an empty table gives no rows. A column that has the name
-    of the count is replaced.
+    of the count is replaced. A text takes time in proportion to its length, however many lines it has or loses.
     """
-    gone = removed_lines(docs, id_col, text_col, min_chars, least_chars).select(F.col("doc").alias("_line_doc"), F.col("gone").alias("_line_gone"))
-    joined = docs.drop(count_col).join(gone, F.col(id_col) == F.col("_line_doc"), "left").drop("_line_doc")
-    parts = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_line_gone"))
-    text = F.when(F.col("_line_gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    count = F.coalesce(F.size("_line_gone"), F.lit(0)).cast("long")
+    doc, lost = free_names([*docs.columns, count_col], "_line_doc", "_line_gone")
+    gone = removed_lines(docs, id_col, text_col, min_chars, least_chars).select(F.col("doc").alias(doc), F.col("gone").alias(lost))
+    joined = docs.drop(count_col).join(gone, F.col(f"`{id_col}`") == F.col(doc), "left")
+    text = F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), F.col(lost)))
     columns = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c != count_col]
-    return joined.select(*columns, F.when(F.col("_line_gone").isNull(), F.lit(0).cast("long")).otherwise(count).alias(count_col))
+    return joined.select(*columns, F.coalesce(F.size(lost), F.lit(0)).cast("long").alias(count_col))

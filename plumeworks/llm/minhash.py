@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plumeworks.llm.common import connected, settle, small_side
+from plumeworks.llm.common import connected, free_names, settle, small_side
 
 #: Words of a shingle, least weighted Jaccard similarity, coordinates of a signature and rows of a band.
 WORDS = 5
@@ -234,13 +234,14 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words=WOR
 def drop_near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", **options) -> DataFrame:
     """The documents that stay, one of each class, with all their columns; of rows with one id, all equal ones but the first go."""
     found = near_duplicates(docs, id_col, text_col, **options)
-    gone = settle(found.where("NOT kept").select(F.col(id_col).alias("_gone")).distinct(), "dart-gone")
-    left = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    again = found.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("_n")).where("_n > 1").select(F.col(id_col).alias("_again"))
+    lost, more, nth = free_names(docs.columns, "_gone", "_again", "_nth")
+    gone = settle(found.where("NOT kept").select(F.col(id_col).alias(lost)).distinct(), "dart-gone")
+    left = docs.join(gone, F.col(id_col) == F.col(lost), "left_anti")
+    again = found.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("_n")).where("_n > 1").select(F.col(id_col).alias(more))
     again = settle(again, "dart-again")
     if again.isEmpty():
         return left
-    once = left.join(again, F.col(id_col) == F.col("_again"), "left_anti")
-    first = left.join(again, F.col(id_col) == F.col("_again"), "left_semi")
-    first = first.withColumn("_nth", F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))).where("_nth = 1").drop("_nth")
+    once = left.join(again, F.col(id_col) == F.col(more), "left_anti")
+    first = left.join(again, F.col(id_col) == F.col(more), "left_semi")
+    first = first.withColumn(nth, F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))).where(F.col(nth) == 1).drop(nth)
     return once.unionByName(first)

@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from plumeworks.llm.common import settle
+from plumeworks.llm.common import free_names, settle
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights by the rank of a source (code point order, null last), total share of all sizes, largest repeat of a document.
@@ -146,11 +146,12 @@ def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
 def apply_mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", **options) -> DataFrame:
     """The documents with their copies: none, one or several rows each, all columns kept."""
     taken = mix(docs, id_col, text_col, source_col, **options)
-    held = taken.groupBy(F.col("row_hash").alias("_mix_key")).agg(F.sum("copies").alias("_mix_copies"), F.count("*").alias("_mix_rows"))
-    keyed = docs.withColumn("_mix_key", F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col))).join(settle(held, "mix-held"), "_mix_key")
-    alone = keyed.where("_mix_rows = 1").drop("_mix_rows")
-    same = keyed.where("_mix_rows > 1").withColumn("_mix_at", F.row_number().over(Window.partitionBy("_mix_key").orderBy("_mix_copies")))
-    split = F.floor(F.col("_mix_copies") / F.col("_mix_rows")) + (F.col("_mix_at") <= F.col("_mix_copies") % F.col("_mix_rows")).cast("int")
-    same = same.withColumn("_mix_copies", split.cast("long")).drop("_mix_rows", "_mix_at")
-    rows = alone.unionByName(same).where("_mix_copies > 0")
-    return rows.withColumn("_mix_copies", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    key, copies, n, at = free_names(docs.columns, "_mix_key", "_mix_copies", "_mix_rows", "_mix_at")
+    held = taken.groupBy(F.col("row_hash").alias(key)).agg(F.sum("copies").alias(copies), F.count("*").alias(n))
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col), F.col(source_col))).join(settle(held, "mix-held"), key)
+    alone = keyed.where(F.col(n) == 1).drop(n)
+    same = keyed.where(F.col(n) > 1).withColumn(at, F.row_number().over(Window.partitionBy(key).orderBy(copies)))
+    split = F.floor(F.col(copies) / F.col(n)) + (F.col(at) <= F.col(copies) % F.col(n)).cast("int")
+    same = same.withColumn(copies, split.cast("long")).drop(n, at)
+    rows = alone.unionByName(same).where(F.col(copies) > 0)
+    return rows.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -52,12 +52,7 @@ def _line_digest(docs):
 
 
 def op10_line_dedup(spark, sf_dir):
-    """Lines as its SQL takes them: those of fewer than ``MIN_CHARS`` characters stay."""
-    return _line_digest(lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least_chars=lines.MIN_CHARS))
-
-
-def op10_line_dedup_all_lines(spark, sf_dir):
-    """Every line that is not blank, as the pipeline does it."""
+    """Every line that is not blank takes part; one edit makes those of 16 characters or more equal."""
     return _line_digest(lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
@@ -78,7 +73,7 @@ def op13_merkle_manifest(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_cube_mix, op3_dart_minhash, op4_page_text, op5_secret_ledger, op6_language_id, op7_hamming_top_k,
-    op8_best_fit_packing, op9_cover_tree_dedup, op10_line_dedup, op10_line_dedup_all_lines,
+    op8_best_fit_packing, op9_cover_tree_dedup, op10_line_dedup,
     op11_bit_sliced_resample, op12_context_mixing, op13_merkle_manifest,
 )}
 
@@ -92,19 +87,18 @@ def _spans(place: int, pattern: str, group: int, least: int) -> str:
                 unnest(regexp_split_to_array(x, {p})[:len(regexp_extract_all(x, {p}, 0))]) AS gap, unnest(range(len(regexp_extract_all(x, {p}, 0)))) AS i)))"""
 
 
-def _line_dedup(least: int, near: str = "") -> str:
-    """SQL of the line dedup over lines of ``least`` characters; ``near`` bounds those that one edit makes equal."""
-    return f"""
+_BLANK = "' ' || chr(9) || chr(13) || chr(12) || chr(11)"
+_LINE_DEDUP = f"""
         WITH parts AS (
             SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos
             FROM documents WHERE doc_id IS NOT NULL
         ), rows AS (
             SELECT doc_id, pos, raw, trim(raw, {_BLANK}) AS line FROM parts
         ), firsts AS (
-            SELECT line, length(line) AS n, min((doc_id, pos)) AS first FROM rows WHERE length(line) >= {least} GROUP BY line
+            SELECT line, length(line) AS n, min((doc_id, pos)) AS first FROM rows WHERE length(line) >= 1 GROUP BY line
         ), halves AS (
             SELECT line, n, first, unnest([(0, n, left(line, n // 2)), (1, n, right(line, n // 2)), (0, n - 1, left(line, (n - 1) // 2)), (1, n - 1, right(line, (n - 1) // 2))]) AS half
-            FROM firsts{near}
+            FROM firsts WHERE n >= 16
         ), pairs AS (
             SELECT DISTINCT a.line AS late, b.line AS early, a.n AS n, b.n AS m FROM halves a JOIN halves b ON a.half = b.half AND b.first < a.first AND abs(a.n - b.n) <= 1
         ), parted AS (
@@ -143,18 +137,15 @@ def _leaf(text: str) -> str:
 _NAMES = "[" + ", ".join(f"'{kind}'" for kind in secret_scan.RULES) + "]"
 _LISTED = f"coalesce(array_to_string(list_transform({{}}, lambda v: {_NAMES}[v.k + 1] || ':' || v.s || ':' || v.e), ','), '')"
 _PLACES = {kind: k for k, kind in enumerate(secret_scan.RULES)}
-_BLANK = "' ' || chr(9) || chr(13) || chr(12) || chr(11)"
 _FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"
 ORACLE: dict[str, str] = {
     "op7_hamming_top_k": f"""
         WITH bits AS (
             SELECT vec_id AS id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings WHERE {_FINITE}
-        ), folded AS (
-            SELECT id, i % 64 AS bit, count(*) FILTER (WHERE x > 0) % 2 AS b FROM bits GROUP BY ALL
         ), codes AS (
-            SELECT id, list(b ORDER BY bit) AS code FROM folded GROUP BY id
+            SELECT id, list(CAST(x > 0 AS INTEGER) ORDER BY i) AS code FROM bits GROUP BY id
         ), pairs AS (
-            SELECT q.id AS query_id, r.id, CAST(len(list_filter(list_zip(q.code, r.code), lambda z: z[1] <> z[2])) AS INTEGER) AS distance
+            SELECT q.id AS query_id, r.id, CAST(len(list_filter(list_zip(q.code, r.code), lambda z: coalesce(z[1], 0) <> coalesce(z[2], 0))) AS INTEGER) AS distance
             FROM codes q JOIN codes r ON q.id % 20 = 0 AND q.id <> r.id
         ), ranked AS (
             SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank, id, distance FROM pairs
@@ -170,8 +161,7 @@ ORACLE: dict[str, str] = {
             sha256({_LISTED.format(f"list_filter(spans, lambda v: v.k IN ({', '.join(str(_PLACES[kind]) for kind in secret_scan.BASE)}))")}) AS base_sha256,
             {_LISTED.format("spans")} AS spans
         FROM found""",
-    "op10_line_dedup": _line_dedup(lines.MIN_CHARS),
-    "op10_line_dedup_all_lines": _line_dedup(1, " WHERE n >= 16"),
+    "op10_line_dedup": _LINE_DEDUP,
     "op11_bit_sliced_resample": rf"""
         WITH {_CRC_TABLE}, docs AS (
             SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents

@@ -3,7 +3,7 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumeworks.llm.common import settle
+from plumeworks.llm.common import bound, settle
 from plumeworks.session import work_folder
 
 #: Rules by kind, in the order in which spans at one place are listed: version, pattern, group measured and its least length.
@@ -16,32 +16,43 @@ RULES = {
     "bearer": (1, r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
 }
 BASE = ("assign", "access", "hex")
+#: Matches whose spans are collected at once.
+CHUNK = 256
 
 
 def spans_of(text, pattern: str, group: int, least: int):
     """Start and end (exclusive, in code points) of the matches whose group is long enough, in order.
 
-    The text is split at the matches; a match starts after the gaps and matches before it. Built-in functions only.
+    The text is split at the matches; a match starts after the gaps and matches before it. Built-in functions only. Spans are
+    collected in chunks, as growing one array by each of many thousands of matches would copy it as often.
     """
     gaps = F.split(text, pattern, -1)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     measured = found if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     steps = F.transform(F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("hit"), measured.alias("part")), lambda x: F.struct(
         F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), F.length(x["part"]).alias("part")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
+    none = F.array().cast("array<struct<s:int,e:int>>")
 
     def add(acc, x):
         s = acc["at"] + x["gap"]
         span = F.array(F.struct(s.alias("s"), (s + x["hit"]).alias("e")))
         return F.struct((s + x["hit"]).alias("at"), F.when(x["part"] >= least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(steps, start, add, lambda acc: acc["out"])
+    def in_chunks(steps):
+        def add_chunk(acc, c):
+            own = F.aggregate(F.slice(steps, c * CHUNK + 1, F.lit(CHUNK)), F.struct(acc["at"].alias("at"), none.alias("out")), add)
+            return bound(own, lambda r: F.struct(r["at"].alias("at"), F.concat(acc["out"], r["out"]).alias("out")))
+
+        chunks = F.sequence(F.lit(0), F.floor(F.size(steps) / CHUNK).cast("int"))
+        return F.aggregate(chunks, F.struct(F.lit(0).alias("at"), none.alias("out")), add_chunk, lambda acc: acc["out"])
+
+    return bound(steps, in_chunks)
 
 
 def content_address(versions: DataFrame, path_cols, text_col="text") -> DataFrame:
-    """The path columns of every version with the ``blob`` (sha256) its text has; a null text is empty."""
+    """The path columns of every version, as ``_path_0`` and so on, with the ``blob`` (sha256) its text has; a null text is empty."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return versions.select(*[F.col(c) for c in path_cols], F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("_text"))
+    return versions.select(*[F.col(f"`{c}`").alias(f"_path_{i}") for i, c in enumerate(path_cols)], F.sha2(text.cast("binary"), 256).alias("blob"), text.alias("_text"))
 
 
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,10 +91,14 @@ def update_ledger(versions: DataFrame, folder: str, text_col="text", rules=RULES
 
 
 def findings(spark: SparkSession, folder: str, rules=RULES) -> DataFrame:
-    """``(blob, spans)`` with the findings of the current rule versions: ``(s, k, e, kind)`` ordered by start, then rule order."""
+    """``(blob, spans)`` with the findings of the current rule versions: ``(s, k, e)`` ordered by start, then rule order.
+
+    A pair that the ledger holds more than once, from two runs at a time or a repeated append, counts once.
+    """
     kinds = list(rules)
     order = F.element_at(F.create_map(*[x for k, kind in enumerate(kinds) for x in (F.lit(kind), F.lit(k))]), F.col("kind"))
     rows = read_ledger(spark, folder).where(F.concat_ws(":", "kind", "version").isin([f"{k}:{r[0]}" for k, r in rules.items()]) & (F.size("spans") > 0))
+    rows = rows.dropDuplicates(["blob", "kind", "version"])
     spans = F.transform("spans", lambda x: F.struct(x["s"].alias("s"), order.alias("k"), x["e"].alias("e")))
     return rows.select("blob", spans.alias("spans")).groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
 
@@ -92,7 +107,7 @@ def scan(versions: DataFrame, path_cols=("doc_id",), text_col="text", ledger: st
     """The path columns of every version with ``spans``: an ordered array of ``(s, k, e)``, ``k`` being the rule's place in ``rules``.
 
     ``ledger`` is a folder that lasts between runs; without one a fresh ledger is kept in the shared work folder. Null texts
-    are empty; repeated rows are returned each; an empty table gives no rows.
+    are empty; repeated rows are returned each; an empty table gives no rows. A path column named ``spans`` is left out.
     """
     spark = versions.sparkSession
     ledger = ledger or work_folder(spark, "ledger")
@@ -100,7 +115,8 @@ def scan(versions: DataFrame, path_cols=("doc_id",), text_col="text", ledger: st
     paths = content_address(versions, path_cols, text_col).drop("_text")
     found = settle(findings(spark, ledger, rules), "findings")
     empty = F.array().cast("array<struct<s:int,k:int,e:int>>")
-    return paths.join(found, "blob", "left").withColumn("spans", F.coalesce("spans", empty)).drop("blob")
+    named = [F.col(f"_path_{i}").alias(c) for i, c in enumerate(path_cols) if c != "spans"]
+    return paths.join(found, "blob", "left").select(*named, F.coalesce("spans", empty).alias("spans"))
 
 
 def listed(spans, rules=RULES):

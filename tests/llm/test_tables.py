@@ -1,10 +1,13 @@
 """The operators on small tables with nulls, empty texts, repeated rows, ties and no rows at all."""
 
+import random
+import time
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
-from plumeworks.llm import cover_tree, language, lines, minhash, mixing, packing, pages, secret_scan, token_files
+from plumeworks.llm import cover_tree, hamming, language, lines, minhash, mixing, packing, pages, secret_scan, token_files
 from plumeworks.llm.common import importable
 from plumeworks.session import work_folder
 
@@ -69,6 +72,54 @@ def test_mix_and_language(docs):
     assert found[4] == found[5] == found[6] == "und" and found[7] != "und"
 
 
+def test_columns_with_the_names_that_are_used_inside(docs):
+    """Any further column comes back as it was."""
+    named = docs.select("*", *[F.lit(k).alias(c) for k, c in enumerate(("_gone", "_again", "_nth", "_line_gone", "_line_doc", "_mix_key", "_mix_copies", "_mix_rows", "_lines_removed", "blob", "spans"))])
+    for made in (minhash.drop_near_duplicates(named), mixing.apply_mix(named), lines.dedup_lines(named, count_col="n_gone").drop("n_gone"), corpus_pipeline.drop_repeated_lines(docs.sparkSession, named, "")):
+        assert made.columns == named.columns and made.select(named.columns[-11:]).distinct().collect() == [tuple(range(11))]
+    found = secret_scan.scan(named, path_cols=("doc_id", "blob", "spans"))
+    assert found.columns == ["doc_id", "blob", "spans"] and {r["blob"] for r in found.collect()} == {9}
+
+
+def test_a_ledger_with_repeated_rows_counts_once(docs):
+    """Two runs at a time, or one repeated after a lost driver, append the same pairs."""
+    spark, folder = docs.sparkSession, work_folder(docs.sparkSession, "ledger-twice")
+    secret_scan.update_ledger(docs, folder)
+    spark.read.parquet(folder).write.parquet(copy := work_folder(spark, "ledger-copy"))
+    spark.read.parquet(copy).write.mode("append").parquet(folder)
+    rows = {r["doc_id"]: r for r in secret_scan.digest(secret_scan.scan(docs, ledger=folder)).collect()}
+    at = ROWS[2][1].index("token")
+    assert rows[3]["n_assign"] == 1 and rows[3]["spans"] == f"assign:{at}:{at + 22}"
+
+
+def test_many_lines_and_findings_in_one_text(spark):
+    """Time grows with the length of a text: 50,000 lines, of which half go, and 50,000 findings."""
+    importable(spark)
+    body = "\n".join(f"line number {k // 2}" for k in range(50_000))
+    hexes = " ".join(f"{k:016x}" for k in range(50_000))
+    docs = spark.createDataFrame([(1, body), (2, hexes)], "doc_id long, text string")
+    start = time.time()
+    cut = {r["doc_id"]: r for r in lines.dedup_lines(docs.where("doc_id = 1"), min_chars=100).collect()}
+    assert cut[1]["lines_removed"] == 25_000 and cut[1]["text"] == "\n".join(f"line number {k}" for k in range(25_000))
+    found = secret_scan.digest(secret_scan.scan(docs)).where("doc_id = 2").first()
+    assert found["n_hex"] == 50_000 and found["spans"].startswith("hex:0:16,hex:17:33,") and found["spans"].endswith(f"hex:{17 * 49_999}:{17 * 50_000 - 1}")
+    assert time.time() - start < 90
+
+
+def test_hamming_search_of_long_and_broken_vectors(spark):
+    """128 components, shorter ones, ties and vectors without a code against a scan."""
+    importable(spark)
+    rng = random.Random(6)
+    vectors = [[rng.choice([-1.0, 1.0, 0.0]) for _ in range(128)] for _ in range(60)] + [[1.0] * 5, [-1.0] * 70, []]
+    vectors += [v[:100] + [-x for x in v[100:]] for v in vectors[:20]] + [vectors[0]]
+    rows = [(k, v) for k, v in enumerate(vectors)] + [(900, None), (901, [None, 1.0]), (902, [float("nan")]), (None, [1.0])]
+    got = {}
+    for r in hamming.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0, k=4, row_block=16, query_block=2).collect():
+        got.setdefault(r["query_id"], []).append((r["distance"], r["id"]))
+    bits = {k: {i for i, x in enumerate(v) if x > 0} for k, v in enumerate(vectors)}
+    assert {k: sorted(v) for k, v in got.items()} == {q: sorted((len(bits[q] ^ bits[k]), k) for k in bits if k != q)[:4] for q in bits if q % 20 == 0}
+
+
 def test_embeddings(spark):
     importable(spark)
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.99, 0.1]), (4, [0.0, 1.0]), (5, None), (6, [0.0, 0.0]), (7, [None, 1.0]), (8, [float("nan"), 1.0]), (9, [1.0])]
