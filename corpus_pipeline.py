@@ -8,7 +8,7 @@ stages' operators define.
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumeworks.llm import language, lines, minhash, mixing, packing
-from plumeworks.llm.common import importable, settle, table
+from plumeworks.llm.common import free_names, importable, settle, table
 
 #: A document whose language is named with less certainty than this is rejected, as is one without a letter.
 LEAST_SCORE = 0.5
@@ -17,17 +17,19 @@ LEAST_SCORE = 0.5
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; texts that are null or hold no letter go."""
     importable(spark)
-    named = language.predict(docs, language.train(docs), lang_name="_lang_pred", score_name="_lang_score")
-    return named.where((F.col("_lang_pred") != language.UNKNOWN) & (F.col("_lang_score") >= LEAST_SCORE)).select(*docs.columns)
+    lang, score = free_names(docs.columns, "_lang_pred", "_lang_score")
+    named = language.predict(docs, language.train(docs), lang_name=lang, score_name=score)
+    return named.where((F.col(lang) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that came before, in this or an earlier document; a document left without any text goes."""
     importable(spark)
-    cut = lines.dedup_lines(docs, count_col="_lines_removed")
-    cut = cut.where((F.col("_lines_removed") == 0) | F.col("text").rlike(r"\S"))
+    (gone,) = free_names(docs.columns, "_lines_removed")
+    cut = lines.dedup_lines(docs, count_col=gone)
+    cut = cut.where((F.col(gone) == 0) | F.col("text").rlike(r"\S"))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("_lines_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        cut = cut.withColumn("n_chars", F.when(F.col(gone) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return cut.select(*docs.columns)
 
 
