@@ -11,7 +11,7 @@ from plumeworks import constants as C
 from plumeworks.functions import expressions as X
 from plumeworks.functions.filters import predicate
 from plumeworks.operators import (
-    aggregates, clean, geo, merge, metrics, quality, refresh, registry, series, weather,
+    aggregates, clean, geo, merge, metrics, quality, refresh, registry, report, series, weather,
 )
 from plumeworks.operators.quantiles import exact_quantiles
 from plumeworks.plans import bindings
@@ -670,6 +670,41 @@ def _(t):
     return clean.build_stats(t.raw(), t.get("hourly"), "pollutant_group")
 
 
+_UNPLACED = "CASE WHEN hour_local = 3 AND wind_deg > 180 THEN NULL ELSE year END"
+
+
+@query(
+    "A22_weather_stats",
+    f"""SELECT 'weather' AS name, count(*) AS rows_in, count(y) AS rows_out, count(y) AS rows_stored,
+               count(DISTINCT trim(regexp_replace(site_name, '[\\\\/:*?"<>|]', '_', 'g'))) FILTER (WHERE y IS NOT NULL) AS n_sites,
+               array_to_string(list_sort(list(DISTINCT y) FILTER (WHERE y IS NOT NULL)), ',') AS years, true AS complete
+        FROM (SELECT *, {_UNPLACED} AS y FROM raw_weather)""",
+)
+def _(t):
+    """The counts of a weather build, taken during its write; some rows have no year and cannot be placed."""
+    raw = t.raw_weather()
+    lost = (F.col("hour_local") == 3) & (F.col("wind_deg") > 180)
+    typed, rows_in = report.counted(weather.typed_weather(raw.withColumn("year", F.when(~F.coalesce(lost, F.lit(False)), F.col("year")))))
+    placed, rows_out = report.counted(weather.placed_weather(typed))
+    path = writers.write_partitioned(placed, folder(t, "a22"), ["location", "year"])
+    return report.weather_report(t.spark.read.parquet(path), rows_in(), rows_out())
+
+
+@query(
+    "A22_group_report",
+    """SELECT pollutant_group AS name, rows_in, rows_out, rows_out AS rows_stored, n_sites, years, true AS complete FROM
+         (SELECT pollutant_group, count(*) AS rows_in FROM raw GROUP BY 1) JOIN
+         (SELECT pollutant_group, count(*) AS rows_out, count(DISTINCT aqsid) AS n_sites,
+                 array_to_string(list_sort(list(DISTINCT year)), ',') AS years FROM hourly GROUP BY 1) USING (pollutant_group)""",
+)
+def _(t):
+    """The counts of a store build, taken during its write."""
+    raw, rows_in = report.counted(t.raw(), "pollutant_group", C.POLLUTANT_GROUPS)
+    rows, rows_out = report.counted(clean.clean_measurements(raw), "pollutant_group", C.POLLUTANT_GROUPS)
+    path = writers.write_partitioned(rows, folder(t, "a22-groups"), ["pollutant_group", "year"])
+    return report.build_report(t.spark.read.parquet(path), "pollutant_group", rows_in(), rows_out(), t.get("daily"), "aqsid")
+
+
 @query(
     "A23_validity_tally",
     """SELECT count(*) AS n_days, count(*) FILTER (WHERE valid_day) AS n_valid, count(*) FILTER (WHERE NOT valid_day) AS n_invalid FROM daily_default""",

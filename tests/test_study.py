@@ -6,6 +6,7 @@ import pytest
 
 from helpers import DEFAULTS
 from plumeworks import constants as C
+from plumeworks.operators import report
 from plumeworks.plans.study import build_study
 
 
@@ -67,6 +68,19 @@ def test_from_files_to_tables_twice(spark, inputs):
     assert sorted(os.listdir(f"{inputs}/out/csv")) == sorted(C.EXPORT_NAMES)
 
 
+def test_the_build_counts_what_it_writes_and_scans_no_input_for_it(spark, inputs):
+    tables = build(spark, inputs)
+    found = {r["name"]: tuple(r)[1:] for r in tables["build_report"].collect()}
+    assert found == {
+        "Ozone": (149, 72, 72, 1, "2023", True), "PM2.5": (72, 72, 72, 1, "2023", True), "weather": (96, 96, 96, 2, "2023", True)}
+    # no source file is read for the report: its plan knows the stores and the daily table only
+    stores = {"hourly": tables["pollutant_hourly"], "daily": tables["pollutant_daily"]}
+    again = report.build_report(stores["hourly"], "pollutant_group", {None: 1, "Ozone": 149}, {None: 1, "Ozone": 71}, stores["daily"], "aqsid")
+    assert again.first()["complete"] is False
+    plan = again._jdf.queryExecution().toString()
+    assert ".csv" not in plan and f"{inputs}/raw" not in plan
+
+
 def test_failed_checks_stop_the_build(spark, inputs):
     expected = {"rows": {"Ozone": 10_000, "PM2.5": 72}, "sites": 3, "counties": 2, "groups": 2, "weather_rows": 96,
                 "stations": 2}
