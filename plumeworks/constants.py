@@ -83,10 +83,11 @@ STATION_COLUMN_CANDIDATES = ("location", "site_name", "station", "station_name")
 SITE_REFERENCE_SCHEMA = "aqsid string, latitude double, longitude double"
 
 # --- fixed values: raw-data transaction file, 28 pipe-separated fields ------
-TRANSACTION_FIELDS = (
-    "ttype action state county site param poc dur unit meth date time value null_cd freq proto "
-    "q1 q2 q3 q4 q5 q6 q7 q8 q9 q10 mdl unc"
-).split()
+TRANSACTION_FIELDS = [
+    "ttype", "action", "state", "county", "site", "param", "poc", "dur", "unit", "meth", "date", "time",
+    "value", "null_cd", "freq", "proto", "q1", "q2", "q3", "q4", "q5", "q6", "q7", "q8", "q9", "q10", "mdl",
+    "unc",
+]
 
 # --- fixed values: file name patterns ---------------------------------------
 MEASUREMENT_FILE_GLOB = "*_AllCounties_*.csv"
@@ -223,10 +224,11 @@ KELVIN_OFFSET = 273.15
 CELSIUS_MEAN_LIMIT = 60.0
 
 # --- fixed values: registry columns and rows without measurements -----------
-REGISTRY_COLUMNS = (
-    "aqsid state_code county_code site_number site_name county_name network pollutants n_pollutants "
-    "first_date last_date n_records data_status co_located_with notes lat lon"
-).split()
+REGISTRY_COLUMNS = [
+    "aqsid", "state_code", "county_code", "site_number", "site_name", "county_name", "network", "pollutants",
+    "n_pollutants", "first_date", "last_date", "n_records", "data_status", "co_located_with", "notes", "lat",
+    "lon",
+]
 # aqsid, county_code, site_number, site_name, county_name, pollutants, data_status, notes
 STATIC_REGISTRY_ROWS = [
     ("480290623", 29, 623, "Gardner Rd. Gas SubStation", "Bexar", "", "reference",

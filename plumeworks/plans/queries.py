@@ -1112,6 +1112,41 @@ def _(t):
     return quality.check_measurements(t.raw(), "all", 75000, 10.0, window).select(*_RESULT)
 
 
+_SHORT = ["method_code", "poc"]
+
+
+@query(
+    "V1_file_headers",
+    """SELECT * FROM (VALUES
+         ('schema:good_AllCounties_1.csv', true, ''), ('schema:reordered_AllCounties_1.csv', true, ''),
+         ('schema:short_AllCounties_1.csv', false, 'missing=[''method_code'', ''poc'']'),
+         ('schema:short_wide_AllCounties_1.csv', false, 'missing=[''poc''] extra=[''note'', ''unit'']'),
+         ('schema:wide_AllCounties_1.csv', false, 'extra=[''unit'']')) v(name, passed, detail)
+       UNION ALL SELECT 'rows', count(*) = 5 * (SELECT count(*) FROM raw), CAST(count(*) AS VARCHAR) || ',' || CAST(count(poc) AS VARCHAR) || ',' || CAST(count(method_code) AS VARCHAR)
+       FROM (SELECT poc, method_code FROM raw UNION ALL SELECT poc, method_code FROM raw UNION ALL SELECT poc, method_code FROM raw
+             UNION ALL SELECT NULL, NULL FROM raw UNION ALL SELECT NULL, method_code FROM raw)""",
+)
+def _(t):
+    """Five deliveries of the raw table with headers of their own: checked apart, and read together by name."""
+    raw, path = t.raw(), folder(t, "v1")
+    wide = raw.withColumn("unit", F.lit("ppb"))
+    files = {
+        "good": raw, "reordered": raw.select(*reversed(raw.columns)), "short": raw.drop(*_SHORT), "wide": wide,
+        "short_wide": wide.withColumn("note", F.lit("x")).drop("poc"),
+    }
+    for name, df in files.items():
+        writers.write_csv(df.select(*[F.col(c).cast("string") for c in df.columns]), f"{path}/{name}_AllCounties_1.csv")
+    glob = f"{path}/{C.MEASUREMENT_FILE_GLOB}"
+    headers = {file.rsplit("/", 2)[-2]: names for file, names in readers.headers(t.spark, glob).items()}
+    checks = quality.check_headers(t.spark, headers).select("name", "passed", "detail")
+    rows = readers.measurement_csv(t.spark, glob)
+    counted = rows.agg(
+        (F.count(F.lit(1)) == 5 * raw.count()).alias("passed"),
+        F.concat_ws(",", F.count(F.lit(1)), F.count("poc"), F.count("method_code")).alias("detail"),
+    )
+    return checks.unionByName(counted.select(F.lit("rows").alias("name"), "passed", "detail"))
+
+
 @query(
     "V5_duplicates_by_group",
     """SELECT pollutant_group, n AS n_rows, CAST(lo AS DATE) AS min_date, CAST(hi AS DATE) AS max_date, dup AS n_duplicate_hours, n - whole AS n_exact_duplicates FROM (
