@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import plumeworks
 from plumeworks.session import settle
 
-#: A settled side of at most this many narrow rows (about 20 bytes each) is broadcast; a larger one is shuffled.
+#: A settled side of at most this many narrow rows (a hash as text and a long at the widest, some 64 bytes in memory) is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 500_000
 
 

@@ -2,6 +2,7 @@
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -38,8 +39,9 @@ _ENDS_P = BLOCKS | {"hr"}
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _BOUNDS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr")}
 
-#: Shortest paragraph that scores.
-PARAGRAPH = 25
+#: Shortest paragraph that scores; a character of a script that writes a word with one or two counts for ``WIDE`` others.
+PARAGRAPH, WIDE = 25, 3
+_WIDE = re.compile("[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff]")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Doubts about an element that only its text can settle: a word of furniture in a longer name, a name of furniture alone, a form.
 PARTLY, WHOLLY, FORM = 1, 2, 3
@@ -48,16 +50,19 @@ _WEIGHTS = {PARTLY: 0.5, WHOLLY: 0.1}
 
 
 class Node:
-    __slots__ = ("tag", "names", "parent", "start", "end", "drop", "block", "own", "commas", "linked", "score", "size", "links", "doubt", "paragraphs", "weight")
+    __slots__ = ("tag", "names", "parent", "start", "end", "drop", "block", "own", "commas", "linked", "score", "size", "links", "doubt", "paragraphs", "prose", "wide", "weight", "inside", "anchor")
 
     def __init__(self, tag, names, parent, start, drop, doubt=0):
         self.tag, self.names, self.parent, self.start, self.end, self.drop, self.doubt = tag, names, parent, start, start, drop, doubt
         self.block = self if tag in BLOCKS or tag == "" else parent.block
+        #: Whether an article or main element is around or is the element, and whether a link is, up to its block.
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+        self.anchor = tag == "a" or self.block is not self and parent.anchor
         self.weight = 1.0
         self.clear()
 
     def clear(self):
-        self.own = self.commas = self.linked = self.size = self.links = self.paragraphs = 0
+        self.own = self.commas = self.linked = self.size = self.links = self.paragraphs = self.prose = self.wide = 0
         self.score = 0.0
 
     def above(self):
@@ -87,14 +92,11 @@ def _furniture(tag, attrs, parent) -> tuple[frozenset, bool, int]:
         return names, True, 0
     if (tag in ("article", "main") and not names & {"comment", "comments", "reply"}) or tag in ("html", "body"):
         return names, False, 0
-    inside = parent
-    while inside is not None and inside.tag not in ("article", "main"):
-        inside = inside.parent
     words = found.get("class", "").lower().split()
     if tag not in HEADINGS:
         words += found.get("id", "").lower().split()
-    doubt = _doubt(words, DROPPED_NAMES if inside is not None else DROPPED_NAMES | HEADER_NAMES)
-    if tag == "header" and inside is None:
+    doubt = _doubt(words, DROPPED_NAMES if parent.inside else DROPPED_NAMES | HEADER_NAMES)
+    if tag == "header" and not parent.inside:
         doubt = WHOLLY
     return names, False, doubt or (FORM if tag == "form" or role == "form" else 0)
 
@@ -103,6 +105,7 @@ def parse(page: str) -> tuple[list, list[Node]]:
     """Events ``(node, text)`` in page order, text None where a node opens or closes, and the nodes in that order."""
     root = Node("", frozenset(), None, 0, False)
     events, nodes, at, here = [], [root], 0, root
+    open_tags: Counter[str] = Counter()  # what is not open is not looked for
 
     def close(node):
         nonlocal here
@@ -110,10 +113,13 @@ def parse(page: str) -> tuple[list, list[Node]]:
             here.end = len(events)
             events.append((here, None))
             gone, here = here, here.parent
+            open_tags[gone.tag] -= 1
             if gone is node:
                 return
 
     def find(tags, bounds):
+        if not any(open_tags[tag] for tag in tags):
+            return None
         node = here
         while node is not root and node.tag not in bounds:
             if node.tag in tags:
@@ -150,6 +156,7 @@ def parse(page: str) -> tuple[list, list[Node]]:
         node = Node(tag, names, here, len(events), drop or here.drop, doubt)
         nodes.append(node)
         events.append((node, None))
+        open_tags[tag] += 1
         here = node
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -169,11 +176,10 @@ def score(events, nodes) -> None:
         n = len(text.strip())
         block = node.block
         block.own += n
+        if not text.isascii():
+            block.wide += len(_WIDE.findall(text))
         block.commas += text.count(",") + text.count("，") + text.count("、")
-        inside = node
-        while inside is not block and inside.tag != "a":
-            inside = inside.parent
-        if inside.tag == "a":
+        if node.anchor:
             block.linked += n
     for node in reversed(nodes):
         if node.block is not node or node.drop:
@@ -184,15 +190,17 @@ def score(events, nodes) -> None:
         if up is not None:
             up.size += node.size
             up.links += node.links
-        if node.own >= PARAGRAPH and 2 * node.linked < node.own:
+        if node.own + (WIDE - 1) * node.wide >= PARAGRAPH and 2 * node.linked < node.own:
             points = (1 + node.commas + min(node.own // 100, 3)) * (1 - node.linked / node.own)
             level, to = 0, node if node.tag not in ("p", "pre", "li", "h1", "h2", "h3", "h4", "h5", "h6") else up
             while to is not None:
                 to.score += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
                 level, to = level + 1, to.parent.block if to.parent else None
             node.paragraphs += 1
+            node.prose += node.own
         if up is not None:
             up.paragraphs += node.paragraphs
+            up.prose += node.prose
 
 
 def _leading(nodes) -> Node | None:
@@ -244,8 +252,20 @@ def _weighed(node) -> float:
     return value * node.weight * (1 - node.links / node.size) if node.size else 0.0
 
 
+def _widened(best) -> Node:
+    """The container of the whole article where the best one holds a part of it: an element around it that adds as much as a third more
+    in paragraphs that score, and hardly anything else or any links."""
+    node, around = best, best.parent.block
+    while around.parent is not None and around.tag not in ("html", "body"):
+        more, prose = around.size - node.size, around.prose - node.prose
+        if 3 * prose >= node.prose > 0 and 4 * prose >= 3 * more and 5 * (around.links - node.links) <= more and not around.drop:
+            node = around
+        around = around.parent.block
+    return node
+
+
 def main_parts(events, nodes) -> list[Node]:
-    """The best container and the siblings that belong to it, in page order."""
+    """The best container, widened to the whole article, and the siblings that belong to it, in page order."""
     live = [n for n in nodes if n.block is n and not n.drop and n.size]
     if not live:
         return []
@@ -263,6 +283,8 @@ def main_parts(events, nodes) -> list[Node]:
         node = node.parent
     if best.parent is None or best.tag == "body":
         return [best]
+    if best.tag not in ("article", "main"):
+        best = _widened(best)
     parts, least = [], max(10.0, 0.2 * top)
     for other in live:
         if other is best:
