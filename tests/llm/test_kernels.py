@@ -1,5 +1,7 @@
 """Exact comparisons of the numpy kernels with brute force."""
 
+import time
+
 import numpy as np
 import pytest
 
@@ -130,3 +132,30 @@ def test_page_text_leaves_furniture_out_of_pages_without_paragraphs():
     for kind in ("article", "div"):
         page = f'<body><div class="ad">Buy this, it is cheaper than all the others.</div><{kind}><h1>Short one</h1><p>Few words.</p></{kind}></body>'
         assert pages.main_text(page) == "Short one\n\nFew words."
+
+
+_P = "<p>" + "This is a sentence of an article, with commas, and words. " * 3 + "</p>"
+_MENU = "<div class=menu><a href=x>Home</a> <a href=y>News</a></div>"
+
+
+@pytest.mark.parametrize("page, times", [
+    (f"<body>{_MENU}<div id=c><div class=row><div class=a>{_P * 4}</div></div><div class=row><div class=b>{_P * 4}</div></div></div><div class=foot>Copyright <a href=z>us</a></div>", 8),
+    (f"<body>{_MENU}<div id=c><div class=a>{_P * 4}</div><div class=comments>{_P * 4}</div></div>", 4),
+    (f"<body><div id=c><div><div class=a>{_P * 4}</div></div><div>" + "<a href=x>More of the same, and more of it, to read</a> " * 40 + "</div></div>", 4),
+    (f"<body><div><div><div>{_P}</div></div><div><div>{_P * 3}</div></div><div><div>{_P * 2}</div></div></div>", 6),
+])
+def test_an_article_over_several_wrappers_is_whole(page, times):
+    text = pages.main_text(page)
+    assert text.count("This is a sentence") == 3 * times and "Home" not in text and "Copyright" not in text and "More of" not in text
+
+
+def test_short_paragraphs_of_wide_scripts_score():
+    page = "<body><div><a href=x>首页</a></div><div>" + "".join(f"<p>这是第{k}段很短的文字。</p>" for k in range(5)) + "</div>"
+    assert pages.main_text(page) == "\n\n".join(f"这是第{k}段很短的文字。" for k in range(5))
+
+
+@pytest.mark.parametrize("tags", ["<div>x ", "<span><b>y ", "<p><a href=z>w "])
+def test_deep_pages_take_time_in_proportion(tags):
+    start = time.time()
+    pages.main_text(tags * 25_000)
+    assert time.time() - start < 20
