@@ -7,6 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
+from plumeworks.llm import tokens as encoder
 from plumeworks.llm.common import connected, free_names, settle, small_side
 
 #: Words of a shingle, least weighted Jaccard similarity, coordinates of a signature and rows of a band.
@@ -114,6 +115,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, least: float) -> D
     both = pairs.join(texts.select(F.col("u").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("u").alias("b"), F.col("t").alias("tb")), "b")
 
     def check(batches):
+        encoder.forget()
         last: dict[int, tuple] = {}
         for batch in batches:
             keep = []
@@ -140,6 +142,7 @@ def _prefixes(texts: DataFrame, words: int, least: float) -> DataFrame:
     """
 
     def explode(batches):
+        encoder.forget()
         for batch in batches:
             for u, cell in zip(batch.column(0), batch.column(1)):
                 elements, weights = shingles(cell.as_py(), words)
@@ -190,6 +193,7 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words=WOR
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def sign(batches):
+        encoder.forget()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)

@@ -39,6 +39,12 @@ def _splits_at_spaces(path: str) -> bool:
         r"ByteLevel\(add_prefix_space=False, trim_offsets=\w+, use_regex=True\)", str(t.pre_tokenizer)) is not None
 
 
+def forget() -> None:
+    """Drops the words a worker remembers, for other work that it is reused for."""
+    for words in (_known, _before, _endings):
+        words.clear()
+
+
 def _ids(encoding) -> bytes:
     return np.array(encoding.ids, "<u4").tobytes()
 
