@@ -965,13 +965,13 @@ def _(t):
           UNION ALL SELECT DISTINCT pollutant_group, {_KEYS} FROM raw WHERE data_source = 'TCEQ') WHERE pollutant_group <> 'VOCs' GROUP BY 1""",
 )
 def _(t):
-    """A batch that was cut off: half its rows are in the store, unknown to the key index. It is repeated twice."""
+    """A batch that was cut off: the rows of one instrument are in the store, unknown to the key index. It is repeated twice."""
     path, rows = folder(t, "k4-repeat"), _bronze(t).where(F.col("pollutant_group").isin(*C.REFRESH_GROUPS))
     writers.write_partitioned(rows.where(F.col("data_source") == "EPA"), path, ["pollutant_group", "year"])
     keys.refresh(t.spark, path, ["pollutant_group", *C.APPEND_KEY], ["pollutant_group", "year"])
     late = writers.new_rows(rows, t.spark.read.parquet(path), ["pollutant_group", *C.APPEND_KEY])
-    half = late.where(F.xxhash64(*C.APPEND_KEY) % 2 == 0).select(*rows.columns)
-    half.write.mode("append").partitionBy("pollutant_group", "year").parquet(path)
+    part = late.where(F.col("poc") == 1).select(*rows.columns)
+    part.write.mode("append").partitionBy("pollutant_group", "year").parquet(path)
     for _ in range(2):
         writers.append_delta(t.spark, rows, path)
     return t.spark.read.parquet(path).groupBy("pollutant_group").agg(
@@ -1040,7 +1040,7 @@ def _(t):
     root, values = folder(t, "k7-versions"), t.get("values")
     writers.publish({"design_values": values}, root)
     writers.publish({"design_values": values.where("exceeds")}, root)
-    values.limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/design_values/version-000003-unfinished")
+    values.where("NOT exceeds").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{root}/design_values/version-000003-unfinished")
     return writers.published(t.spark, root, "design_values").groupBy("pollutant_group").agg(
         F.count("*").alias("n_rows"), F.max("value").alias("top")
     )
