@@ -47,13 +47,11 @@ def build_report(stored, column, before, after, sites, site_column):
 def weather_report(stored, before, after):
     """The same for the weather store, as one row; stations and years come from its folders."""
     spark = stored.sparkSession
-    passed = inline_table(spark, ["name", "rows_in", "rows_out"], [("weather", before[None], after[None])])
     held = stored.groupBy("location", "year").agg(F.count(F.lit(1)).alias("n")).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows_stored"), F.count_distinct("location").alias("n_sites"),
         F.array_join(F.array_sort(F.collect_set("year")).cast("array<string>"), ",").alias("years"),
-    )
-    rows = passed.join(F.broadcast(held))  # one row each
-    return rows.select(
-        "name", F.col("rows_in").cast("long"), F.col("rows_out").cast("long"), "rows_stored", "n_sites", "years",
-        (F.col("rows_stored") == F.col("rows_out")).alias("complete"),
-    )
+    ).first()
+    names = ["name", "rows_in", "rows_out", "rows_stored", "n_sites", "years", "complete"]
+    row = ("weather", before[None], after[None], *held, held["rows_stored"] == after[None])
+    rows = inline_table(spark, names, [row])
+    return rows.select(*[F.col(c).cast("long") if c in names[1:5] else F.col(c) for c in names])
