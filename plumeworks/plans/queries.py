@@ -229,6 +229,21 @@ def _(t):
     return refresh.from_transactions(readers.transactions(t.spark, path), "Ozone")
 
 
+@query(
+    "S7_rejects",
+    """SELECT col AS "column", txt AS text, reason, count(*) AS n_rows FROM (
+         SELECT unnest([CASE WHEN l_tax > 0.075 THEN {'col': '_surplus', 'txt': 'x', 'reason': 'too many fields'} END,
+                        CASE WHEN l_tax <= 0.075 AND l_quantity = 13 THEN {'col': 'value', 'txt': 'n/a', 'reason': 'not double'} END], recursive := true)
+         FROM lineitem WHERE l_returnflag <> 'A' AND (l_tax > 0.075 OR l_discount <= 0.095)) WHERE col IS NOT NULL GROUP BY ALL""",
+)
+def _(t):
+    """The transaction lines with a word for one of the values; what of the raw-data lines cannot be read."""
+    path = folder(t, "s7-rejects")
+    _transaction_lines(t).select(F.regexp_replace("value", r"\|13(\.0+)?\|", "|n/a|").alias("value")).write.text(path)
+    _, rejects = readers.transactions_and_rejects(t.spark, path)
+    return rejects.groupBy("column", "text", "reason").agg(F.count("*").alias("n_rows"))
+
+
 def _api_records(t):
     """Raw rows as API responses: all text, a code that is no number now and then, no county name."""
     raw = t.raw()
