@@ -2,7 +2,7 @@
 
 from plumeworks import constants as C
 from plumeworks.operators import aggregates, clean, merge, metrics, quality, registry, report, weather
-from plumeworks.plans.tables import LAYOUT
+from plumeworks.plans.tables import LAYOUT, PLACED
 from plumeworks.sources import readers, writers
 
 
@@ -51,7 +51,7 @@ def build_study(
     def stored(name, df):
         path = f"{out}/parquet/{name}"
         if name in LAYOUT:
-            writers.write_partitioned(df, path, *LAYOUT[name])
+            writers.write_partitioned(df, path, *LAYOUT[name], placed=name in PLACED)
         else:
             writers.write_table(df, path)
         return readers.parquet_dataset(spark, path)
