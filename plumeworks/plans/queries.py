@@ -905,7 +905,8 @@ _COMBINED = _DAILY + ", weather_station, distance_km, " + ", ".join(_WX)
 
 @query("R2_combined_daily", f"SELECT {_COMBINED} FROM combined", f"{_DAILY_DOUBLES} distance_km {' '.join(_WX)}")
 def _(t):
-    return t.get("combined").select(*_COMBINED.split(", "))
+    rows = merge.combine(t.get("daily"), t.get("pairing"), t.get("weather_daily"))
+    return rows.select(*_COMBINED.split(", "))
 
 
 @query("R3_site_registry", f"SELECT {', '.join(C.REGISTRY_COLUMNS)} FROM registry ORDER BY data_status, county_name, aqsid", "lat lon")
