@@ -406,13 +406,13 @@ def county_networks(registry):
     return table.fillna(0, ["BOTH", "EPA", "TCEQ"])
 
 
-def coverage_summary(registry, daily, group="PM2.5"):
-    """Sites, counties and networks of the study with its date span and groups."""
+def coverage_summary(registry, rows, group="PM2.5"):
+    """Sites, counties and networks of the study with the date span and groups of its hourly or daily rows."""
     active = registry.where(F.col("data_status") == "active")
     def networks(name):
         return F.count_if(F.col("network") == name)
     day = F.when(F.col("pollutant_group") == group, F.to_date("date_local"))
-    spans = daily.groupBy("pollutant_group").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    spans = rows.groupBy("pollutant_group").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
     return active.agg(
         F.count("*").alias("n_sites"),
         F.count_distinct("county_name").alias("n_counties"),

@@ -1429,7 +1429,7 @@ def _(t):
               array_to_string(list_sort(list(DISTINCT pollutant_group)), ', ') AS pollutants FROM daily) d""",
 )
 def _(t):
-    return cat.coverage_summary(t.get("registry"), t.get("daily"))
+    return cat.coverage_summary(t.once("registry"), t.get("hourly"))
 
 
 @query(
