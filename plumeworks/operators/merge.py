@@ -48,10 +48,13 @@ def attach_coordinates(sites, coords):
     return sites.join(coords, "aqsid", "left")
 
 
-def pair_sites(daily, weather, coords):
-    """Site to weather station: nearest by distance, else by county name, else null."""
+def pair_sites(rows, weather, coords):
+    """Site to weather station: nearest by distance, else by county name, else null.
+
+    The sites are those of ``rows``; hourly and daily rows name the same ones.
+    """
     stations = settle(station_coordinates(weather), "stations")
-    sites = settle(attach_coordinates(site_names(daily), coords), "sites")
+    sites = settle(attach_coordinates(site_names(rows), coords), "sites")
     located = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     names = ["aqsid", "site_name", "county_name"]
     near = nearest_station(sites.where(located), stations).select(*names, "weather_station", "distance_km")

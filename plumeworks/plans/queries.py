@@ -897,7 +897,7 @@ def _(t):
 # ------------------------------------------------------------------ composites ---
 @query("R1_site_pairing", "SELECT aqsid, site_name, county_name, weather_station, distance_km FROM pairing", "distance_km")
 def _(t):
-    return merge.pair_sites(t.get("daily"), t.get("weather"), t.get("coords"))
+    return merge.pair_sites(t.get("hourly"), t.get("weather"), t.get("coords"))
 
 
 _COMBINED = _DAILY + ", weather_station, distance_km, " + ", ".join(_WX)

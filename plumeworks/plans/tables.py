@@ -85,7 +85,7 @@ class Tables:
         return merge.prefer_first(self.coordinate_sources(), "aqsid", ["lat", "lon"])
 
     def _build_pairing(self):
-        return merge.pair_sites(self.get("daily"), self.get("weather"), self.get("coords"))
+        return merge.pair_sites(self.get("hourly"), self.get("weather"), self.get("coords"))
 
     def _build_combined(self):
         return merge.combine(self.get("daily"), self.get("pairing"), self.get("weather_daily"))
