@@ -1457,7 +1457,7 @@ def _(t):
     "mean completeness_pct",
 )
 def _(t):
-    path = writers.write_table(cat.county_subset(t.get("daily"), "PM2.5", COUNTY), folder(t, "q18"))
+    path = writers.write_table(cat.county_subset(t.once("daily"), "PM2.5", COUNTY), folder(t, "q18"))
     return t.spark.read.parquet(path)
 
 
