@@ -1575,8 +1575,8 @@ def _(t):
     ),
 )
 def _(t):
-    names = ("hourly", "daily", "monthly", "values", "combined", "registry", "weather")
-    return cat.table_inventory({n: t.get(n) for n in names})
+    stored = {n: t.get(n) for n in ("hourly", "daily", "weather")}
+    return cat.table_inventory(stored | {n: t.once(n) for n in ("monthly", "values", "combined", "registry")})
 
 
 @query("Q28_status_counts", "SELECT data_status, count(*) AS n_sites FROM registry GROUP BY 1")
