@@ -716,8 +716,9 @@ def _(t):
     """The counts of a store build, taken during its write."""
     raw, rows_in = report.counted(t.raw(), "pollutant_group", C.POLLUTANT_GROUPS)
     rows, rows_out = report.counted(clean.clean_measurements(raw), "pollutant_group", C.POLLUTANT_GROUPS)
-    path = writers.write_partitioned(rows, folder(t, "a22-groups"), ["pollutant_group", "year"])
-    return report.build_report(t.spark.read.parquet(path), "pollutant_group", rows_in(), rows_out(), t.get("daily"), "aqsid")
+    path = writers.write_partitioned(rows, folder(t, "a22-groups"), ["pollutant_group", "year"], placed=True)
+    stored = t.spark.read.parquet(path)
+    return report.build_report(stored, "pollutant_group", rows_in(), rows_out(), stored, "aqsid")
 
 
 @query(
