@@ -1026,9 +1026,10 @@ def _(t):
 _PUBLISHED = {"naaqs_design_values": "values", "pollutant_monthly": "monthly", "site_registry": "registry"}
 
 
-def _publish(t, label):
+def _publish(t, label, source=None):
+    """Publishes the three tables; they are read once, so they need not be stored before."""
     root = folder(t, label)
-    named = {name: t.get(source) for name, source in _PUBLISHED.items()}
+    named = {name: (source or t.once)(table) for name, table in _PUBLISHED.items()}
     writers.publish(named, root)
     return named, root
 
@@ -1070,7 +1071,7 @@ def _(t):
          UNION ALL SELECT 'site_registry', count(*) FROM registry)""",
 )
 def _(t):
-    named, root = _publish(t, "k8")
+    named, root = _publish(t, "k8", t.get)  # counted besides
     return writers.reconcile(named, root)
 
 
