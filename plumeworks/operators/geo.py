@@ -187,9 +187,27 @@ def neighbours_within(points, km, key="aqsid"):
     return pairs.where(haversine_km(F.col("lat"), F.col("lon"), F.col("other_lat"), F.col("other_lon")) <= km).select(key, "other")
 
 
+def first_within(points, km, key="aqsid"):
+    """``(key, _other)``: the smallest other key at most ``km`` away, for the points that have one.
+
+    Points at one spot fold into its two smallest keys before spots are compared, so crowds of them make no pairs.
+    """
+    spot = F.struct("lat", "lon").alias("spot")
+    located = points.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    placed = settle(located.select(key, (F.col("lat") + 0.0).alias("lat"), (F.col("lon") + 0.0).alias("lon")).distinct().select(key, "lat", "lon", spot), "spots")
+    least = placed.groupBy("spot", "lat", "lon").agg(F.min(key).alias("_1st"))
+    others = placed.join(least.select("spot", "_1st"), "spot").where(F.col(key) != F.col("_1st"))
+    spots = settle(least.join(others.groupBy("spot").agg(F.min(key).alias("_2nd")), "spot", "left"), "spot-keys")
+    itself = spots.select("spot", F.col("spot").alias("other"))
+    near = neighbours_within(spots.select("spot", "lat", "lon"), km, "spot").unionByName(itself)
+    near = near.join(spots.select(F.col("spot").alias("other"), "_1st", "_2nd"), "other").drop("other")
+    other = F.when(F.col("_1st") != F.col(key), F.col("_1st")).otherwise(F.col("_2nd"))
+    return placed.select(key, "spot").join(near, "spot").groupBy(key).agg(F.min(other).alias("_other")).where(F.col("_other").isNotNull())
+
+
 def fill_co_located(registry, km):
     """``registry`` with ``co_located_with`` as the first id among the sites within ``km``; sites without one keep the empty text."""
-    first = neighbours_within(registry.select("aqsid", "lat", "lon").distinct(), km).groupBy("aqsid").agg(F.min("other").alias("_other"))
+    first = first_within(registry.select("aqsid", "lat", "lon"), km)
     filled = registry.join(first, "aqsid", "left").withColumn("co_located_with", F.coalesce("_other", "co_located_with"))
     return filled.select(*registry.columns)
 
