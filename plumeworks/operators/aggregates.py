@@ -7,15 +7,15 @@ from plumeworks import constants as C
 IDENTITY = ["aqsid", "parameter_code", "pollutant_name", "pollutant_group", "county_name", "site_name"]
 
 
-def daily_stats(hourly, threshold=C.HOURLY_COMPLETENESS):
+def daily_stats(hourly, threshold=C.HOURLY_COMPLETENESS, month=False):
     """Statistics per site, day and parameter; days below the threshold stay, flagged.
 
     ``n_hours`` counts non-null rows, so several instruments can push completeness past 1.
     Rows are placed by site, parameter and month first: folding them before the shuffle hardly makes them fewer, and its
-    table of texts may not fit in memory. Few folders receive the result, so it is written where it is, with
+    table of texts may not fit in memory. With ``month`` they keep ``_month``, by which they are placed. Few folders receive the result, so it is written where it is, with
     the days of a month together.
     """
-    return (
+    days = (
         hourly.withColumn("_month", F.substring("date_local", 1, 7))
         .repartition("aqsid", "parameter_code", "_month")
         .groupBy(*IDENTITY, "date_local", "_month")
@@ -26,17 +26,18 @@ def daily_stats(hourly, threshold=C.HOURLY_COMPLETENESS):
             F.stddev_samp("sample_measurement").alias("std"),
             F.count("sample_measurement").alias("n_hours"),
         )
-        .drop("_month")
         .withColumn("completeness_pct", F.col("n_hours") / 24.0)
         .withColumn("valid_day", F.col("completeness_pct") >= threshold)
     )
+    return days if month else days.drop("_month")
 
 
 def monthly_stats(daily):
-    """Statistics of the daily means per month, valid days only."""
+    """Statistics of the daily means per month, valid days only; days that carry ``_month`` are not shuffled again."""
+    month = F.col("_month") if "_month" in daily.columns else F.substring("date_local", 1, 7)
     return (
         daily.where("valid_day")
-        .groupBy(*IDENTITY, F.substring("date_local", 1, 7).alias("year_month"))
+        .groupBy(*IDENTITY, month.alias("year_month"))
         .agg(
             F.avg("mean").alias("monthly_mean"),
             F.min("mean").alias("monthly_min"),

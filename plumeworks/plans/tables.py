@@ -76,7 +76,9 @@ class Tables:
         return aggregates.daily_stats(self.get("hourly"), SPARSE_THRESHOLD)
 
     def _build_monthly(self):
-        return aggregates.monthly_stats(self.get("daily"))
+        if "daily" in self.done:
+            return aggregates.monthly_stats(self.get("daily"))
+        return aggregates.monthly_stats(aggregates.daily_stats(self.get("hourly"), SPARSE_THRESHOLD, month=True))
 
     def _build_values(self):
         return metrics.design_values(self.get("hourly"), min_hours=SPARSE_MIN_HOURS)

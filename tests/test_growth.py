@@ -83,3 +83,12 @@ def test_first_co_located_equals_all_pairs(spark):
     want = sites.join(b, F.col("aqsid") != F.col("other")).where(near).groupBy("aqsid").agg(F.min("other").alias("_other"))
     found = geo.first_within(sites, 16.0)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_months_follow_days_without_a_shuffle(spark):
+    hourly = tab.tables(spark, FOLDER).get("hourly")
+    monthly = aggregates.monthly_stats(aggregates.daily_stats(hourly, tab.SPARSE_THRESHOLD, month=True))
+    assert len(re.findall(r"\bExchange\b", plan_of(monthly))) == 1
+    plain = aggregates.monthly_stats(aggregates.daily_stats(hourly, tab.SPARSE_THRESHOLD))
+    keys = [*aggregates.IDENTITY, "year_month", "n_valid_days"]
+    assert monthly.columns == plain.columns and sorted(map(str, monthly.select(keys).collect())) == sorted(map(str, plain.select(keys).collect()))
