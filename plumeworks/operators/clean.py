@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from plumeworks import constants as C
 from plumeworks.functions.expressions import all_of, inline_table, local_timestamp, season_of
+from plumeworks.session import shuffle_partitions
 
 
 def drop_exact_duplicates(df):
@@ -19,10 +20,10 @@ def drop_exact_duplicates(df):
 def drop_exact_duplicates_by_folder(df):
     """:func:`drop_exact_duplicates` with the rows of a (group, year) placed together in a bounded number of parts.
 
-    So a partitioned write needs no second shuffle. A folder is spread over a quarter of the shuffle partitions, by key,
+    So a partitioned write needs no second shuffle. A folder is spread over an eighth of the shuffle partitions, by key,
     so its size does not bind one task.
     """
-    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+    parts = max(1, shuffle_partitions(df.sparkSession) // 8)
     marked = df.withColumns({"_year": F.substring("date_local", 1, 4), "_part": F.pmod(F.xxhash64(*C.APPEND_KEY), F.lit(parts))})
     return marked.repartition("pollutant_group", "_year", "_part").dropDuplicates().drop("_year", "_part")
 

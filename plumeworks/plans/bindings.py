@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from plumeworks import constants as C
 from plumeworks.functions.expressions import wind_components, zero_fill
 
+TABLES = ["lineitem", "events", "orders", "customer", "supplier"]
+
 _PARAMETER_BY_LINE = [44201, 88101, 81102, 42101, 42401, 42602, 43202]
 _GROUP_BY_LINE = ["Ozone", "PM2.5", "PM10", "CO", "SO2", "NOx_Family", "VOCs"]
 _LINE_BY_EVENT = {"view": 1, "click": 2, "purchase": 3, "signup": 4}

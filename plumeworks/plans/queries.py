@@ -353,7 +353,7 @@ def _(t):
 
 @query("P4_P5_P7_time_columns", f"SELECT {HOURLY_COLUMNS} FROM hourly", "sample_measurement")
 def _(t):
-    return t.get("hourly").select(*HOURLY_COLUMNS.split(", "))
+    return t.once("hourly").select(*HOURLY_COLUMNS.split(", "))
 
 
 @query(

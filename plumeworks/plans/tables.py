@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plumeworks.functions.expressions import stable_round
 from plumeworks.operators import aggregates, clean, merge, metrics, registry, weather
 from plumeworks.plans import bindings
-from plumeworks.session import bound_tasks, work_folder
+from plumeworks.session import bound_tasks, stored_bytes, work_folder
 from plumeworks.sources import writers
 
 # Sites of the test tables report far less than hourly, so the published tables accept any
@@ -38,6 +38,7 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
         self.root = work_folder(spark, "tables")
         self.done = set()
+        self.input_bytes = stored_bytes(spark, [f"{sf_dir}/{name}.parquet" for name in bindings.TABLES])
 
     def raw(self):
         return bindings.raw_measurements(self.spark, self.sf_dir)
@@ -105,10 +106,10 @@ _OPEN = {}
 def tables(spark, sf_dir):
     """The table set of this session and data folder."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    bound_tasks(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _OPEN:
         _OPEN[key] = Tables(spark, sf_dir)
+    bound_tasks(spark, _OPEN[key].input_bytes)
     return _OPEN[key]
 
 

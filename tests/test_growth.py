@@ -10,7 +10,7 @@ from plumeworks.functions.expressions import haversine_km
 from plumeworks.operators import aggregates, clean, geo
 from plumeworks.plans import tables as tab
 from plumeworks.plans.queries import QUERIES
-from plumeworks.session import TASK_BYTES
+from plumeworks.session import BYTES_PER_PARTITION, FIRST_PARTITIONS, TASK_BYTES, bound_tasks, shuffle_partitions
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -45,11 +45,33 @@ def test_a_task_takes_a_bounded_share(spark):
     assert {key: spark.conf.get(key) for key in TASK_BYTES} == TASK_BYTES
 
 
+def test_shuffles_have_partitions_in_proportion_to_the_input(spark):
+    t = tab.tables(spark, FOLDER)
+    assert shuffle_partitions(spark) == max(4, -(-t.input_bytes // BYTES_PER_PARTITION))
+    bound_tasks(spark, 40 * BYTES_PER_PARTITION)
+    try:
+        plan = plan_of(clean.clean_measurements(t.raw()))
+        assert re.search(r"Exchange hashpartitioning\(.*, 40\)", plan) and re.search(r"pmod\(xxhash64\(.*\), 5\)", plan)
+    finally:
+        bound_tasks(spark, t.input_bytes)
+
+
+def test_a_session_keeps_a_number_of_partitions_of_its_own(spark, monkeypatch):
+    class Given:
+        def contains(self, key):
+            return True
+
+    monkeypatch.setattr(type(spark.sparkContext), "getConf", lambda self: Given())
+    before = spark.conf.get(FIRST_PARTITIONS, None)
+    bound_tasks(spark, 1 << 40)
+    assert spark.conf.get(FIRST_PARTITIONS, None) == before
+
+
 @pytest.mark.parametrize("name, spared", [
     ("R1_site_pairing", {"daily"}), ("Q16_coverage_summary", {"daily", "registry"}), ("Q18_county_subset", {"daily"}),
     ("A22_group_report", {"hourly", "daily"}), ("K9_output_manifest", {"monthly", "values", "registry"}),
     ("K7_published_sql", {"monthly", "values", "registry"}), ("R2_combined_daily", {"combined"}),
-    ("Q27_table_inventory", {"monthly", "values", "registry", "combined"}),
+    ("Q27_table_inventory", {"monthly", "values", "registry", "combined"}), ("P4_P5_P7_time_columns", {"hourly"}),
 ])
 def test_tables_of_a_single_use_are_not_stored(spark, name, spared, monkeypatch):
     monkeypatch.setattr(tab, "_OPEN", {})
