@@ -585,7 +585,8 @@ def _metric_query(metric, ident, min_hours, suffix, source):
         f"SELECT aqsid, year, value FROM {source} WHERE metric = '{metric}' AND value IS NOT NULL", "value",
     )
     def _(t):
-        return metrics.metric_from_hourly(t.get("hourly"), metric, min_hours=min_hours)
+        rows = t.hourly_of({metrics.METRIC_BY_NAME[metric].group})
+        return metrics.metric_from_hourly(rows, metric, min_hours=min_hours)
 
 
 for _metric, _ident in _METRIC_IDS.items():

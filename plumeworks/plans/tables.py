@@ -64,6 +64,13 @@ class Tables:
         """A table for a single use: as published if it is, else its rows without storing them."""
         return self.get(name) if name in self.done else getattr(self, f"_build_{name}")()
 
+    def hourly_of(self, groups):
+        """Hourly rows of some groups for a single use; unless published, they are chosen before rows are cleaned and placed."""
+        chosen = F.col("pollutant_group").isin(*sorted(groups))
+        if "hourly" in self.done:
+            return self.get("hourly").where(chosen)
+        return clean.clean_measurements(self.raw().where(chosen))
+
     def _build_hourly(self):
         return clean.clean_measurements(self.raw())
 

@@ -72,6 +72,7 @@ def test_a_session_keeps_a_number_of_partitions_of_its_own(spark, monkeypatch):
     ("A22_group_report", {"hourly", "daily"}), ("K9_output_manifest", {"monthly", "values", "registry"}),
     ("K7_published_sql", {"monthly", "values", "registry"}), ("R2_combined_daily", {"combined"}),
     ("Q27_table_inventory", {"monthly", "values", "registry", "combined"}), ("P4_P5_P7_time_columns", {"hourly"}),
+    ("A13_ozone_8hr_4th_max", {"hourly"}),
 ])
 def test_tables_of_a_single_use_are_not_stored(spark, name, spared, monkeypatch):
     monkeypatch.setattr(tab, "_OPEN", {})
@@ -114,3 +115,15 @@ def test_months_follow_days_without_a_shuffle(spark):
     plain = aggregates.monthly_stats(aggregates.daily_stats(hourly, tab.SPARSE_THRESHOLD))
     keys = [*aggregates.IDENTITY, "year_month", "n_valid_days"]
     assert monthly.columns == plain.columns and sorted(map(str, monthly.select(keys).collect())) == sorted(map(str, plain.select(keys).collect()))
+
+
+def test_groups_are_chosen_before_rows_are_cleaned(spark):
+    t = tab.Tables(spark, FOLDER)
+    plan = plan_of(t.hourly_of({"Ozone"}))
+    scan = next(line for line in plan.splitlines() if "Filter" in line and "Ozone" in line and "RLIKE" in line)
+    assert scan.index("= Ozone") < scan.index("RLIKE")
+    some = t.hourly_of({"Ozone", "CO"}).select("aqsid", "datetime", "sample_measurement")
+    kept = t.get("hourly").where("pollutant_group IN ('CO', 'Ozone')").select(*some.columns)
+    assert some.exceptAll(kept).isEmpty() and kept.exceptAll(some).isEmpty()
+    again = t.hourly_of({"Ozone", "CO"})
+    assert again.inputFiles() and all("/hourly/" in f for f in again.inputFiles())
