@@ -109,33 +109,38 @@ def nth_highest_day(days, n=4, keys=SITE):
 
 
 def design_values(hourly, metrics=METRICS, min_hours=C.MIN_HOURS_DAY, min_8h=C.MIN_HOURS_8H):
-    """All metrics of all groups.
+    """All metrics of all groups, with the names of the sites."""
+    groups = sorted({m.group for m in metrics})
+    names = site_names(restrict_no2(hourly).where(F.col("pollutant_group").isin(*groups)), GROUP_SITE)
+    return metric_values(hourly, metrics, min_hours, min_8h).join(names, GROUP_SITE, "left").select(
+        "aqsid", "year", "pollutant_group", "metric", "value", "units", "naaqs_level",
+        F.coalesce(F.col("value") > F.col("naaqs_level"), F.lit(False)).alias("exceeds"),
+        "site_name", "county_name",
+    )
+
+
+def branches_of(metrics):
+    """Metrics of groups with 8-hour metrics, and those of the other groups."""
+    windowed = {m.group for m in metrics if m.eight_hour}
+    parts = [[m for m in metrics if (m.group in windowed) == eight_hour] for eight_hour in (True, False)]
+    return [part for part in parts if part]
+
+
+def metric_values(hourly, metrics=METRICS, min_hours=C.MIN_HOURS_DAY, min_8h=C.MIN_HOURS_8H):
+    """All metrics of all groups, one row per site, year and metric.
 
     Measurements are shuffled twice: the hourly average on (group, site, timestamp), then one
     on (group, site) that the window, the site-days, the yearly aggregates and the empty-year
     fill share. Groups with 8-hour metrics form one branch and the others a second one without
     the window; partition pruning gives each branch its own folders, so nothing is read twice.
     """
-    windowed = {m.group for m in metrics if m.eight_hour}
     rows = restrict_no2(hourly)
     branches = []
-    for eight_hour in (True, False):
-        chosen = [m for m in metrics if (m.group in windowed) == eight_hour]
-        if chosen:
-            part = rows.where(F.col("pollutant_group").isin(*sorted({m.group for m in chosen})))
-            days = _placed_days(part, GROUP_SITE, eight_hour, min_hours, min_8h)
-            branches.append(_long_values(days, chosen))
-    groups = sorted({m.group for m in metrics})
-    names = site_names(rows.where(F.col("pollutant_group").isin(*groups)), GROUP_SITE)
-    return (
-        reduce(lambda a, b: a.unionByName(b), branches)
-        .join(names, GROUP_SITE, "left")
-        .select(
-            "aqsid", "year", "pollutant_group", "metric", "value", "units", "naaqs_level",
-            F.coalesce(F.col("value") > F.col("naaqs_level"), F.lit(False)).alias("exceeds"),
-            "site_name", "county_name",
-        )
-    )
+    for chosen in branches_of(metrics):
+        part = rows.where(F.col("pollutant_group").isin(*sorted({m.group for m in chosen})))
+        days = _placed_days(part, GROUP_SITE, any(m.eight_hour for m in chosen), min_hours, min_8h)
+        branches.append(_long_values(days, chosen))
+    return reduce(lambda a, b: a.unionByName(b), branches)
 
 
 def _long_values(days, metrics):

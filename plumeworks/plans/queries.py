@@ -672,7 +672,7 @@ def _(t):
     """SELECT count(*) AS n_rows, count(DISTINCT aqsid) AS n_sites, count(DISTINCT year) AS n_years, count(DISTINCT metric) AS n_metrics FROM dv""",
 )
 def _(t):
-    return metrics.coverage(t.get("values"))
+    return metrics.coverage(t.metric_values())
 
 
 @query(

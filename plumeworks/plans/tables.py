@@ -5,6 +5,8 @@ Every table is derived by Spark from the given ones and written under the folder
 lineage instead of repeating the cleaning for every question.
 """
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from plumeworks.functions.expressions import stable_round
@@ -91,6 +93,16 @@ class Tables:
     def _build_values(self):
         return metrics.design_values(self.get("hourly"), min_hours=SPARSE_MIN_HOURS)
 
+    def metric_values(self):
+        """The design values without names of sites; they are not stored, and neither are the hourly rows for them alone."""
+        if "values" in self.done:
+            return self.get("values")
+        parts = [
+            metrics.metric_values(self.hourly_of({m.group for m in part}), part, min_hours=SPARSE_MIN_HOURS)
+            for part in metrics.branches_of(metrics.METRICS)
+        ]
+        return reduce(lambda a, b: a.unionByName(b), parts)
+
     def _build_coords(self):
         return merge.prefer_first(self.coordinate_sources(), "aqsid", ["lat", "lon"])
 

@@ -72,7 +72,7 @@ def test_a_session_keeps_a_number_of_partitions_of_its_own(spark, monkeypatch):
     ("A22_group_report", {"hourly", "daily"}), ("K9_output_manifest", {"monthly", "values", "registry"}),
     ("K7_published_sql", {"monthly", "values", "registry"}), ("R2_combined_daily", {"combined"}),
     ("Q27_table_inventory", {"monthly", "values", "registry", "combined"}), ("P4_P5_P7_time_columns", {"hourly"}),
-    ("A13_ozone_8hr_4th_max", {"hourly"}),
+    ("A13_ozone_8hr_4th_max", {"hourly"}), ("A21_coverage", {"hourly", "values"}),
 ])
 def test_tables_of_a_single_use_are_not_stored(spark, name, spared, monkeypatch):
     monkeypatch.setattr(tab, "_OPEN", {})
@@ -127,3 +127,11 @@ def test_groups_are_chosen_before_rows_are_cleaned(spark):
     assert some.exceptAll(kept).isEmpty() and kept.exceptAll(some).isEmpty()
     again = t.hourly_of({"Ozone", "CO"})
     assert again.inputFiles() and all("/hourly/" in f for f in again.inputFiles())
+
+
+def test_metric_values_are_design_values_without_names(spark):
+    t = tab.Tables(spark, FOLDER)
+    bare = t.metric_values()
+    named = t.get("values").select(*bare.columns)
+    found, want = (sorted(map(str, tab.tidy(df).collect())) for df in (bare, named))
+    assert found and found == want
