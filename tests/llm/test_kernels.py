@@ -26,6 +26,24 @@ def test_word_cache_equals_whole_encoding(text):
     assert tokens.encode_texts([text, None], path, b"")[0] == whole
 
 
+@pytest.mark.parametrize("text", [
+    "of.\nThe a\n\nb\n\n\nc\n", "\n\nx \n", "a\t\nb \tc,\xa0d", "\n\tx\n y", "\xa0b, \xa0b", "don't\n'tis, (x) _a_", "\u0120a \u0120\n\u0120a,", "x\u00b23 12.5\n3.", "\u6f22\u5b57, \ud55c\uad6d\n\u0939\u093f"])
+def test_cuts_at_line_breaks_equal_whole_encoding(text):
+    path = tokens.default_path()
+    whole = np.array(tokens.tokenizer(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert [tokens.encode_texts([text, text + " x"], path, b"")[0] for _ in range(2)] == [whole] * 2
+
+
+def test_line_starts_and_marked_words_are_met_as_known_words(monkeypatch):
+    """Words of letters go to the model as they are; a word is learned once, whatever punctuation or line break stands beside it."""
+    asked = []
+    tokens.forget()
+    monkeypatch.setattr(tokens, "_encode_letters", lambda words, path, own=tokens._encode_letters: (asked.extend(words), own(words, path))[1])
+    for text in ("x abcabc, abcabc.\nAbcabc", "x abcabc! abcabc\nAbcabc,"):
+        tokens.encode_texts([text], tokens.default_path(), b"")
+    assert sorted(asked) == ["\nAbcabc", "abcabc"]
+
+
 def test_best_fit_equals_one_piece_at_a_time():
     rng = np.random.default_rng(1)
     for cap in (10, 64, 1024):
