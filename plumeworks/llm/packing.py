@@ -7,7 +7,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plumeworks.llm import tokens
-from plumeworks.llm.common import settle
+from plumeworks.llm.common import settle, small_batches
 
 CAPACITY = 1024
 #: Piece rows of one Arrow batch.
@@ -139,7 +139,8 @@ def pack(docs: DataFrame, id_col="doc_id", text_col="text", capacity=CAPACITY, p
     An empty table gives no rows.
     """
     spark = docs.sparkSession
-    cut = settle(pieces(docs, id_col, text_col, capacity, path), "pack-pieces")
+    with small_batches(spark):
+        cut = settle(pieces(docs, id_col, text_col, capacity, path), "pack-pieces")
     held = settle(cut.groupBy("length", "task").agg(F.count("*").alias("c")), "pack-counts")
     counts = {r["length"]: r["c"] for r in held.groupBy("length").agg(F.sum("c").alias("c")).collect()}
     rules = spark.createDataFrame(best_fit(counts, capacity), "length long, lo long, hi long, per long, first long, at long")

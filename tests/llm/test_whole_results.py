@@ -82,6 +82,16 @@ def test_packing_places_every_piece_without_gaps(docs, rows):
     assert packing.pack(docs.where("false")).columns == packing.pack(docs).columns
 
 
+def test_packing_asks_for_small_arrow_batches(docs, monkeypatch):
+    """Ten thousand whole texts of a batch are held by a task several times; the setting is put back."""
+    conf, seen = docs.sparkSession.conf, {}
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    monkeypatch.setattr(packing, "settle", lambda df, label, own=packing.settle: (seen.update({label: int(conf.get(key))}), own(df, label))[1])
+    packing.pack(docs)
+    assert seen["pack-pieces"] <= 1000 and conf.get(key) == before
+
+
 def test_mix_meets_its_targets_and_repeats_itself(spark):
     """Targets by hand: weights 3, 1, 2 in order of the sources, at most twice a source, the excess reshared."""
     importable(spark)
