@@ -63,13 +63,17 @@ def write_token_files(docs: DataFrame, folder: str, id_col="doc_id", text_col="t
 
 
 def read_token_files(spark: SparkSession, folder: str, id_name="doc_id") -> DataFrame:
-    """``(id, start, n_tokens, ids)`` of every document: ``start`` counts the ids of all before it, ``ids`` are little-endian 32-bit."""
+    """``(id, start, n_tokens, ids)`` of every document: ``start`` counts the ids of all before it, ``ids`` are little-endian 32-bit.
+
+    The starts of the segments, three numbers for each of some four million ids, are broadcast; the payloads are not shuffled.
+    """
     files = spark.read.parquet(folder)
     parts = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
     parts = parts.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     inside = F.sum("n_ids").over(Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
     starts = files.select("part", "segment", F.coalesce(inside, F.lit(0)).alias("inside")).join(parts.select("part", "before"), "part")
-    placed = files.join(starts.select("part", "segment", (F.col("inside") + F.col("before")).alias("start")), ["part", "segment"])
+    starts = starts.select("part", "segment", (F.col("inside") + F.col("before")).alias("start"))
+    placed = files.join(F.broadcast(starts), ["part", "segment"])
     kind = files.schema["docs"].dataType.elementType.simpleString()
 
     def run(batches):

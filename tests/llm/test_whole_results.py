@@ -55,6 +55,20 @@ def test_token_files_hold_the_ids_of_whole_texts(docs, rows, segment):
     assert token_files.read_token_files(docs.sparkSession, empty).count() == 0
 
 
+def test_reading_token_files_shuffles_no_payload(docs, capsys):
+    """The large tables' plan: nothing is broadcast for its size."""
+    spark, key = docs.sparkSession, "spark.sql.autoBroadcastJoinThreshold"
+    token_files.write_token_files(docs, folder := work_folder(spark, "tokens-plan"))
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        token_files.read_token_files(spark, folder).explain()
+    finally:
+        spark.conf.set(key, before)
+    plan = capsys.readouterr().out
+    assert "MapInArrow" in plan and "SortMergeJoin [part" not in plan.split("MapInArrow")[1].split("BroadcastExchange")[0]
+
+
 def test_packing_places_every_piece_without_gaps(docs, rows):
     ids = encoded(rows)
     pieces = {}
