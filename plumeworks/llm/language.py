@@ -6,6 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from plumeworks.llm import tokens
+from plumeworks.llm.common import bound_batches
+
 #: n-gram lengths, hash buckets, smoothing, and the bound on learned documents per language.
 ORDERS = (2, 3)
 BUCKETS = 1 << 15
@@ -56,6 +59,7 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", or
     count all labelled rows. Counting is distributed; the driver receives languages x buckets sums.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where("l IS NOT NULL AND t IS NOT NULL")
     sizes = {r["l"]: r["count"] for r in rows.groupBy("l").count().collect()}
     langs = sorted(sizes)
@@ -66,6 +70,7 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", or
     index = {l: k for k, l in enumerate(langs)}
 
     def count(batches):
+        tokens.forget()
         total = np.zeros((len(index), buckets), np.int64)
         for batch in batches:
             for l, t in zip(batch.column(0), batch.column(1)):
@@ -88,10 +93,12 @@ def predict(docs: DataFrame, model, text_col="text", lang_name="lang_pred", scor
     Ties go to the first language by code point. Columns of ``docs`` that have the new names are replaced.
     """
     langs, logs, prior = model
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((langs, logs, prior))
     kept = docs.drop(lang_name, score_name)
 
     def score(batches):
+        tokens.forget()
         langs, logs, prior = shared.value
         buckets = len(logs)
         for batch in batches:

@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from plumeworks.llm import tokens as encoder
-from plumeworks.llm.common import connected, free_names, settle, small_side
+from plumeworks.llm.common import bound_batches, connected, free_names, settle, small_side
 
 #: Words of a shingle, least weighted Jaccard similarity, coordinates of a signature and rows of a band.
 WORDS = 5
@@ -191,6 +191,7 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", words=WOR
     share an id share a class. An empty table gives no rows.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
+    bound_batches(docs.sparkSession)
 
     def sign(batches):
         encoder.forget()

@@ -4,6 +4,7 @@ import random
 import zlib
 from itertools import combinations
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +107,21 @@ def test_packing_asks_for_small_arrow_batches(docs, monkeypatch):
     assert seen["pack-pieces"] <= 1000 and conf.get(key) == before
 
 
+def test_language_and_near_copies_ask_for_small_arrow_batches(docs):
+    """Their results are run by the caller, so the setting holds on; smaller values stay."""
+    conf = docs.sparkSession.conf
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    try:
+        for size, most in ((10_000, 1000), (0, 1000), (50, 50)):
+            for work in (lambda: corpus_pipeline.identify_language(docs.sparkSession, docs, ""), lambda: minhash.drop_near_duplicates(docs.limit(3))):
+                conf.set(key, size)
+                work()
+                assert int(conf.get(key)) == most
+    finally:
+        conf.set(key, before)
+
+
 def test_mix_meets_its_targets_and_repeats_itself(spark):
     """Targets by hand: weights 3, 1, 2 in order of the sources, at most twice a source, the excess reshared."""
     importable(spark)
