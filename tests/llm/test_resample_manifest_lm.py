@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,6 +193,38 @@ def test_rare_words_are_joined_alike(spark, monkeypatch):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want)
 
 
+def test_words_are_counted_alike_in_any_portions(monkeypatch):
+    """Also words that bytes of other alphabets or several white spaces part."""
+    body = [*texts(60), "", " \t\n", "a\x0bb\x0cc\rd\x00 \u00a0\u3000x é", "once"]
+    batch = pa.RecordBatch.from_arrays([pa.array([k % 3 > 0 for k in range(len(body))]), pa.array(body)], ["train", "text"])
+    want, taught = Counter(), Counter()
+    for k, text in enumerate(body):
+        own = [*text.lower().encode().split(), b"\n"]
+        want.update(own)
+        taught.update(own if k % 3 else ())
+    for size in (lm.WORD_BYTES, 500):
+        monkeypatch.setattr(lm, "WORD_BYTES", size)
+        c, n = Counter(), Counter()
+        for part in lm._count_words(iter([batch.slice(0, 9), batch.slice(9)])):
+            for kind, token, x, y in zip(*[v.to_pylist() for v in part.columns]):
+                if kind == 0:
+                    c[token] += x
+                    n[token] += y
+        assert n == want and +c == taught
+
+
+def test_words_used_once_are_not_joined_but_known(spark, monkeypatch):
+    """With no word broadcast but the end, a word used once is known in a training text and unknown in a held-out one."""
+    monkeypatch.setattr(lm, "COMMON", 1)
+    docs = docs_of(spark, [(k, "both both" + f" only{k}" * (k < 4), "a") for k in range(8)])
+    got = {r["doc_id"]: (r["n_tokens"], r["n_known"], r["base_score"]) for r in lm.score(docs, held_out=F.col("doc_id") % 2 == 1).collect()}
+    total, kinds = 14, 4
+    p = [math.log10((c + 0.5) / (total + 0.5 * (kinds + 1))) for c in (0, 1, 4, 8)]
+    for k in range(8):
+        more = (k < 4) * (p[0] if k % 2 else p[1])
+        assert got[k][:2] == (3 + (k < 4), 3 + (k < 4 and k % 2 == 0)) and got[k][2] == pytest.approx(2 * p[3] + p[2] + more, rel=1e-12)
+
+
 def test_model_without_training_or_rows(spark):
     docs = docs_of(spark, [(1, "ab", "a"), (None, "ab", "a"), (1, "ab", "a")])
     rows = lm.score(docs, held_out=F.lit(True)).collect()
