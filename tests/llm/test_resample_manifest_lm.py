@@ -225,6 +225,32 @@ def test_words_used_once_are_not_joined_but_known(spark, monkeypatch):
         assert got[k][:2] == (3 + (k < 4), 3 + (k < 4 and k % 2 == 0)) and got[k][2] == pytest.approx(2 * p[3] + p[2] + more, rel=1e-12)
 
 
+def test_every_training_text_teaches_the_weights(spark):
+    """Also those that a sixteenth by the hash would pass over: each against the counts of the other fold, as a plain version does it."""
+    ids = [k for k in range(200) if zlib.crc32(str(k).encode()) // 5 % 16][:120]
+    body = [(t + " ") * 9 for t in texts(len(ids))]
+    docs = docs_of(spark, [(k, t, "a") for k, t in zip(ids, body)])
+    got = {r["doc_id"]: r["score"] for r in lm.score(docs.coalesce(1)).collect()}
+    crc = [zlib.crc32(str(k).encode()) for k in ids]
+    taught = [[t.lower().encode() for t, c in zip(body, crc) if c % 5 != 1 and c // 5 % lm.FOLDS == f] for f in range(lm.FOLDS)]
+    code = mixer.Code(mixer.pair_counts(sum(taught, [])).reshape(256, -1))
+
+    def tables_of(own):
+        total = np.zeros((mixer.INPUTS, mixer.SLOTS, 2), np.int64)
+        for k, r, packed in mixer.count(own, code):
+            mixer.add_packed(packed, total[k, r * mixer.RANGE : (r + 1) * mixer.RANGE])
+        return np.stack([np.frombuffer(mixer.odds(pairs), np.int8) for pairs in total])
+
+    weights = mixer.first_weights(code)
+    for f, own in enumerate(taught):
+        mixer.mix(own, code, tables_of(sum((t for g, t in enumerate(taught) if g != f), [])), weights, learn=True)
+    assert np.abs(weights - mixer.first_weights(code)).max() > 0.01
+    want = mixer.mix([t.lower().encode() for t in body], code, tables_of(sum(taught, [])), weights) / math.log(10)
+    assert [got[k] for k in ids] == pytest.approx(want.tolist(), rel=1e-4)
+    untaught = mixer.mix([t.lower().encode() for t in body], code, tables_of(sum(taught, [])), mixer.first_weights(code)) / math.log(10)
+    assert abs(want.sum() / untaught.sum() - 1) > 1e-3
+
+
 def test_model_without_training_or_rows(spark):
     docs = docs_of(spark, [(1, "ab", "a"), (None, "ab", "a"), (1, "ab", "a")])
     rows = lm.score(docs, held_out=F.lit(True)).collect()
