@@ -135,3 +135,24 @@ def test_metric_values_are_design_values_without_names(spark):
     named = t.get("values").select(*bare.columns)
     found, want = (sorted(map(str, tab.tidy(df).collect())) for df in (bare, named))
     assert found and found == want
+
+
+def test_combined_rows_of_a_site_are_chosen_before_rows_are_folded(spark):
+    """As the stored table holds them, whether the tables it is made of are stored or not; a site that is not there has none."""
+    site, order = "480130032", ["pollutant_group", "pollutant_name", "parameter_code", "date_local"]
+    bare = tab.Tables(spark, FOLDER)
+    some = bare.combined_of(site)
+    rows = [tuple(r) for r in tab.tidy(some).orderBy(*order).collect()]
+    assert not {"hourly", "daily", "pairing", "combined"} & bare.done
+    assert bare.combined_of("nowhere").count() == 0
+    t = tab.Tables(spark, FOLDER)
+    for stored in ("hourly", "daily", "combined"):
+        t.get(stored)
+        again = tab.tidy(t.combined_of(site).select(*some.columns))
+        assert rows and [tuple(r) for r in again.orderBy(*order).collect()] == rows
+
+
+def test_correlations_of_a_site_store_no_table_of_all_sites(spark, monkeypatch):
+    monkeypatch.setattr(tab, "_OPEN", {})
+    QUERIES["Q12_weather_correlations"](spark, FOLDER).collect()
+    assert not {"hourly", "daily", "pairing", "combined"} & tab.tables(spark, FOLDER).done
