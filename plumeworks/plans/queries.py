@@ -1154,7 +1154,7 @@ def _(t):
         "short_wide": wide.withColumn("note", F.lit("x")).drop("poc"),
     }
     for name, df in files.items():
-        writers.write_csv(df.select(*[F.col(c).cast("string") for c in df.columns]), f"{path}/{name}_AllCounties_1.csv")
+        writers.write_csv(df.select(*[F.col(c).cast("string") for c in df.columns]), f"{path}/{name}_AllCounties_1.csv", compressed=True)
     glob = f"{path}/{C.MEASUREMENT_FILE_GLOB}"
     headers = {file.rsplit("/", 2)[-2]: names for file, names in readers.headers(t.spark, glob).items()}
     checks = quality.check_headers(t.spark, headers).select("name", "passed", "detail")

@@ -39,9 +39,12 @@ def write_table(df, path):
     return path
 
 
-def write_csv(df, path):
-    """CSV export with a header row in every part file."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df, path, compressed=False):
+    """CSV export with a header row in every part file; compressed ones are gzip at its fastest level, which readers open as they are."""
+    writer = df.write.mode("overwrite").option("header", True)
+    if compressed:
+        writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    writer.csv(path)
     return path
 
 

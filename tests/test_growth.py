@@ -1,5 +1,7 @@
 """What a task holds and how often rows are shuffled must not grow faster than the input."""
 
+import glob
+import os
 import re
 
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from helpers import raw
 from plumeworks.functions.expressions import haversine_km
 from plumeworks.operators import aggregates, clean, geo
-from plumeworks.plans import tables as tab
+from plumeworks.plans import queries, tables as tab
 from plumeworks.plans.queries import QUERIES
 from plumeworks.session import BYTES_PER_PARTITION, FIRST_PARTITIONS, TASK_BYTES, bound_tasks, shuffle_partitions
 
@@ -156,3 +158,12 @@ def test_correlations_of_a_site_store_no_table_of_all_sites(spark, monkeypatch):
     monkeypatch.setattr(tab, "_OPEN", {})
     QUERIES["Q12_weather_correlations"](spark, FOLDER).collect()
     assert not {"hourly", "daily", "pairing", "combined"} & tab.tables(spark, FOLDER).done
+
+
+def test_deliveries_with_headers_of_their_own_are_compressed(spark, monkeypatch, folder):
+    """All rows are there, and every part is gzip."""
+    monkeypatch.setattr(queries, "folder", lambda t, label: f"{folder}/{label}")
+    found = {r["name"]: r["passed"] for r in QUERIES["V1_file_headers"](spark, FOLDER).collect()}
+    assert found["rows"] and len(found) == 6
+    parts = glob.glob(f"{folder}/v1/*.csv/part-*")
+    assert len({os.path.dirname(p) for p in parts}) == 5 and all(p.endswith(".csv.gz") for p in parts)
