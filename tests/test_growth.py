@@ -3,6 +3,7 @@
 import glob
 import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from plumeworks.operators import aggregates, clean, geo
 from plumeworks.plans import queries, tables as tab
 from plumeworks.plans.queries import QUERIES
 from plumeworks.session import BYTES_PER_PARTITION, FIRST_PARTITIONS, TASK_BYTES, bound_tasks, shuffle_partitions
+from plumeworks.sources import writers
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -167,3 +169,30 @@ def test_deliveries_with_headers_of_their_own_are_compressed(spark, monkeypatch,
     assert found["rows"] and len(found) == 6
     parts = glob.glob(f"{folder}/v1/*.csv/part-*")
     assert len({os.path.dirname(p) for p in parts}) == 5 and all(p.endswith(".csv.gz") for p in parts)
+
+
+def shuffle_files(spark):
+    """Files of shuffles that this session has on disk."""
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in local for _, _, files in os.walk(d) for f in files if f.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("label", ["append", "insert"])
+def test_appends_leave_neither_shuffles_nor_copies_behind(spark, label, folder):
+    """No file of a shuffle and no copy of the delta is left when the rows are in the store."""
+    tab.tables(spark, FOLDER)
+    rows = raw(spark, *[{"time_local": f"{h:02d}:00", "poc": p} for h in range(24) for p in (1, 2)])
+    store = rows.withColumn("year", F.lit(2023)) if label == "append" else clean.derive_time(rows)
+    writers.write_partitioned(store.where("poc = 1"), f"{folder}/store", ["pollutant_group", "year"])
+    kept = f"{spark.conf.get('spark.checkpoint.dir')}/plumeworks/{label}-*"
+    copies, files = set(glob.glob(kept)), shuffle_files(spark)
+    if label == "append":
+        writers.append_delta(spark, store, f"{folder}/store").collect()
+    else:
+        writers.insert_absent(spark, rows, f"{folder}/store")
+    assert spark.read.parquet(f"{folder}/store").count() == 48
+    assert set(glob.glob(kept)) == copies
+    until = time.time() + 20
+    while shuffle_files(spark) - files and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - files
